@@ -1 +1,146 @@
-"""(filled in below)"""
+"""Code enrichment queries (Q10) over the lookback window of the cohort."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortlens import schemas as S
+from cohortlens.functions import stats as st
+from cohortlens.operators import enrich as en
+from cohortlens.plans.q_cohort import window_claims, window_sql
+from cohortlens.plans.registry import register
+
+W = f"w AS ({window_sql()})"
+LONG = "l AS (SELECT person_id, case_ind, unnest(icd_codes) AS code FROM w)"
+PRES = "p AS (SELECT DISTINCT person_id, case_ind, code FROM l WHERE code IS NOT NULL)"
+WIN_N = ("n AS (SELECT CAST(count(DISTINCT CASE WHEN case_ind = 1 THEN person_id END) AS DOUBLE) AS n_pos, "
+         "CAST(count(DISTINCT CASE WHEN case_ind = 0 THEN person_id END) AS DOUBLE) AS n_neg FROM w)")
+
+
+def _long(spark, sf_dir):
+    return en.explode_codes(window_claims(spark, sf_dir))
+
+
+@register("R2_explode", f"WITH {W} SELECT person_id, case_ind, unnest(icd_codes) AS code FROM w")
+def r2_explode(spark, sf_dir):
+    return _long(spark, sf_dir)
+
+
+@register("A11_frequency", f"""WITH {W}, {LONG}
+SELECT person_id, case_ind, code, count(*) AS frequency FROM l WHERE code IS NOT NULL GROUP BY ALL""")
+def a11_frequency(spark, sf_dir):
+    return en.frequency(_long(spark, sf_dir))
+
+
+@register("A12_presence", f"WITH {W}, {LONG}, {PRES} SELECT * FROM p")
+def a12_presence(spark, sf_dir):
+    return en.presence(_long(spark, sf_dir))
+
+
+@register("A14_class_means", f"""WITH {W}, {LONG},
+f AS (SELECT person_id, case_ind, code, count(*) AS frequency FROM l WHERE code IS NOT NULL GROUP BY ALL),
+n AS (SELECT CAST(count(DISTINCT CASE WHEN case_ind = 1 THEN person_id END) AS DOUBLE) AS n_pos,
+             CAST(count(DISTINCT CASE WHEN case_ind = 0 THEN person_id END) AS DOUBLE) AS n_neg FROM f),
+pc AS (SELECT code, count(CASE WHEN case_ind = 1 THEN 1 END) AS pos_people,
+              count(CASE WHEN case_ind = 0 THEN 1 END) AS neg_people,
+              coalesce(sum(CASE WHEN case_ind = 1 THEN frequency END), 0) AS pos_freq,
+              coalesce(sum(CASE WHEN case_ind = 0 THEN frequency END), 0) AS neg_freq
+       FROM f GROUP BY code),
+m AS (SELECT code, pos_people / n_pos AS pp, neg_people / n_neg AS pn,
+             pos_freq / n_pos AS fp, neg_freq / n_neg AS fn FROM pc, n)
+SELECT code, pp AS prev_pos, pn AS prev_neg, pp - pn AS prev_diff,
+       CASE WHEN pn = 0 THEN NULL ELSE pp / pn END AS prev_ratio,
+       fp AS freq_pos, fn AS freq_neg, fp - fn AS freq_diff,
+       CASE WHEN fn = 0 THEN 'Infinity'::DOUBLE ELSE fp / fn END AS freq_ratio
+FROM m""")
+def a14_class_means(spark, sf_dir):
+    return en.class_means(_long(spark, sf_dir))
+
+
+@register("X4_screen", None)
+def x4_screen(spark, sf_dir):
+    return en.screen_codes(en.class_means(_long(spark, sf_dir)))
+
+
+@register("A15_class_avgs", f"""WITH {W},
+per AS (SELECT person_id, case_ind, file_type, count(claim_id) AS claim_count,
+               sum(CAST(claim_amt AS DECIMAL(18,2))) AS spend FROM w GROUP BY ALL)
+SELECT case_ind, file_type, sum(claim_count) / count(*) AS avg_claim_count,
+       CAST(sum(spend) AS DOUBLE) / count(*) AS avg_spend
+FROM per GROUP BY ALL""")
+def a15_class_avgs(spark, sf_dir):
+    return en.class_averages(window_claims(spark, sf_dir))
+
+
+@register("A16_class_sizes", f"""WITH {W}
+SELECT case_ind, count(DISTINCT person_id) AS people FROM w GROUP BY case_ind""")
+def a16_class_sizes(spark, sf_dir):
+    return (window_claims(spark, sf_dir).select(S.PERSON, S.LABEL).distinct()
+            .groupBy(S.LABEL).agg(F.count("*").alias("people")))
+
+
+@register("A17_prevalence", f"""WITH {W}, {LONG}, {PRES}, {WIN_N},
+pc AS (SELECT code, count(CASE WHEN case_ind = 1 THEN 1 END) AS np,
+              count(CASE WHEN case_ind = 0 THEN 1 END) AS nn FROM p GROUP BY code)
+SELECT code, np / n_pos AS prevalence_pos, nn / n_neg AS prevalence_neg,
+       np / n_pos - nn / n_neg AS difference
+FROM pc, n ORDER BY difference DESC, code LIMIT 10""")
+def a17_prevalence(spark, sf_dir):
+    w = window_claims(spark, sf_dir)
+    return en.prevalence_by_class(w, en.explode_codes(w))
+
+
+CONT_SQL = f"""WITH {W}, {LONG}, {PRES}, {WIN_N}
+SELECT code, count(CASE WHEN case_ind = 1 THEN 1 END) AS pos_with_code,
+       count(CASE WHEN case_ind = 0 THEN 1 END) AS neg_with_code,
+       CAST(any_value(n_pos) AS BIGINT) AS n_pos, CAST(any_value(n_neg) AS BIGINT) AS n_neg
+FROM p, n GROUP BY code"""
+
+
+@register("A18_contingency", CONT_SQL)
+def a18_contingency(spark, sf_dir):
+    w = window_claims(spark, sf_dir)
+    return en.contingency(w, en.explode_codes(w))
+
+
+STATS_SQL = f"""WITH t AS ({CONT_SQL}),
+v AS (SELECT code, pos_with_code, neg_with_code, n_pos, n_neg,
+             CAST(pos_with_code AS DOUBLE) AS a, CAST(n_pos - pos_with_code AS DOUBLE) AS b,
+             CAST(neg_with_code AS DOUBLE) AS c, CAST(n_neg - neg_with_code AS DOUBLE) AS d FROM t),
+s AS (SELECT *, a + b + c + d AS nn, a + b AS r1, c + d AS r2, a + c AS c1, b + d AS c2,
+             CASE WHEN n_pos > 0 THEN pos_with_code / n_pos ELSE 0.0 END AS pp,
+             CASE WHEN n_neg > 0 THEN neg_with_code / n_neg ELSE 0.0 END AS pn FROM v),
+g AS (SELECT *, greatest(abs(a * d - b * c) / nn - 0.5, 0.0) AS adj FROM s)
+SELECT code, pp AS prevalence_positive, pn AS prevalence_negative, pp - pn AS prevalence_difference,
+       CASE WHEN pn > 0 THEN pp / pn ELSE 'Infinity'::DOUBLE END AS prevalence_ratio,
+       CASE WHEN b > 0 AND c > 0 THEN (a * d) / (b * c) ELSE 'Infinity'::DOUBLE END AS odds_ratio,
+       CASE WHEN r1 > 0 AND r2 > 0 AND c1 > 0 AND c2 > 0 THEN
+         adj * adj / (r1 * c1 / nn) + adj * adj / (r1 * c2 / nn) + adj * adj / (r2 * c1 / nn)
+         + adj * adj / (r2 * c2 / nn) END AS chi2,
+       pos_with_code, neg_with_code
+FROM g"""
+
+
+def _stats(spark, sf_dir, p_values=False):
+    w = window_claims(spark, sf_dir)
+    return en.code_statistics(en.contingency(w, en.explode_codes(w)), p_values=p_values)
+
+
+@register("X2_code_stats", STATS_SQL)
+def x2_code_stats(spark, sf_dir):
+    return _stats(spark, sf_dir)
+
+
+@register("X3_screen", f"""WITH z AS ({STATS_SQL})
+SELECT * FROM z WHERE chi2 > {st.CHI2_CRIT_05}
+  AND ((odds_ratio > 2 AND prevalence_difference > 0.01) OR (odds_ratio < 0.5 AND prevalence_difference < -0.01))""")
+def x3_screen(spark, sf_dir):
+    """Q10 report: screened with the chi-square p-value (UDF), p column dropped
+    for the SQL comparison (equivalent to chi2 > 3.8415)."""
+    return en.significance_screen(_stats(spark, sf_dir, p_values=True)).drop("p_value")
+
+
+@register("Q10_enrichment_report", None)
+def q10_enrichment_report(spark, sf_dir):
+    """The full report with p-values (rows-only check)."""
+    return en.significance_screen(_stats(spark, sf_dir, p_values=True))
