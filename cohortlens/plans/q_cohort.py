@@ -19,21 +19,41 @@ L = P.LOOKBACK_DAYS
 
 # ---- Spark side -----------------------------------------------------------
 
+_MEMO: dict = {}
+
+
+def _memo(fn):
+    """One lazy DataFrame per (session, tables, stage): later queries reuse the
+    built plan object instead of re-analysing it."""
+    def wrapped(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf_dir)
+        return _MEMO[key]
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
+@_memo
 def cohort_claims(spark, sf_dir):
     """Claims in the load window (C8) with their code slots."""
     return driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END, codes=True)
 
 
+@_memo
 def covered(spark, sf_dir):
     """Covered beneficiaries."""
     return driver.beneficiaries(spark, sf_dir).filter(F.col("coverage") >= 1)
 
 
+@_memo
 def cases(spark, sf_dir):
     inpatient = cohort_claims(spark, sf_dir).filter(F.col(S.FILE_TYPE) == "inpatient")
     return co.find_cases(inpatient, P.CASE_CODE, P.YEAR)
 
 
+@_memo
 def index_dates(spark, sf_dir):
     return co.assign_index_dates(cases(spark, sf_dir), cohort_claims(spark, sf_dir), covered(spark, sf_dir),
                                  P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)

@@ -1 +1,149 @@
-"""(filled in below)"""
+"""Code-pair queries (Q11) over the cohort's person-level diagnosis flags."""
+
+from __future__ import annotations
+
+from cohortlens.operators import features as fe
+from cohortlens.operators import pairs as pr
+from cohortlens.plans import params as P
+from cohortlens.plans.q_cohort import features, features_sql
+from cohortlens.plans.registry import register
+
+FLAGS = [f"icd9_{fe.code_token(c)}_{P.LOOKBACK_DAYS}d" for c in P.ICD_CODES]
+
+
+def flag_table(spark, sf_dir):
+    return features(spark, sf_dir, hcpcs=(), pairs=(), demographics=False)
+
+
+def counts(spark, sf_dir):
+    return pr.pair_counts(flag_table(spark, sf_dir), FLAGS)
+
+
+_POS = " UNION ALL ".join(f"SELECT '{f}' AS code, {i} AS pos" for i, f in enumerate(FLAGS))
+_LONG = " UNION ALL ".join(f"SELECT person_id, case_ind, '{f}' AS code, {f} AS v FROM ft" for f in FLAGS)
+COUNTS_SQL = f"""
+WITH ft AS ({features_sql(hcpcs=(), pairs=(), demographics=False)}),
+pos AS ({_POS}),
+lg AS (SELECT l.person_id, l.case_ind, l.code, p.pos, l.v FROM ({_LONG}) l JOIN pos p ON l.code = p.code),
+cls AS (SELECT count(CASE WHEN case_ind = 1 THEN 1 END) AS n_pos,
+               count(CASE WHEN case_ind = 0 THEN 1 END) AS n_neg FROM ft),
+pr AS (SELECT a.code AS code1, b.code AS code2, a.pos AS pos1, b.pos AS pos2,
+              sum(CASE WHEN a.case_ind = 1 THEN a.v ELSE 0 END) AS n1_pos,
+              sum(CASE WHEN a.case_ind = 1 THEN b.v ELSE 0 END) AS n2_pos,
+              sum(CASE WHEN a.case_ind = 1 THEN a.v * b.v ELSE 0 END) AS n11_pos,
+              sum(CASE WHEN a.case_ind = 0 THEN a.v ELSE 0 END) AS n1_neg,
+              sum(CASE WHEN a.case_ind = 0 THEN b.v ELSE 0 END) AS n2_neg,
+              sum(CASE WHEN a.case_ind = 0 THEN a.v * b.v ELSE 0 END) AS n11_neg
+       FROM lg a JOIN lg b ON a.person_id = b.person_id AND a.pos < b.pos
+       GROUP BY 1, 2, 3, 4)
+SELECT code1, code2, pos1, pos2, CAST(n_pos AS BIGINT) AS n_pos, CAST(n1_pos AS BIGINT) AS n1_pos,
+       CAST(n2_pos AS BIGINT) AS n2_pos, CAST(n11_pos AS BIGINT) AS n11_pos, CAST(n_neg AS BIGINT) AS n_neg,
+       CAST(n1_neg AS BIGINT) AS n1_neg, CAST(n2_neg AS BIGINT) AS n2_neg, CAST(n11_neg AS BIGINT) AS n11_neg
+FROM pr, cls"""
+
+PHI = """CASE WHEN sqrt(CAST(n1_pos AS DOUBLE) * (n_pos - n1_pos) * n2_pos * (n_pos - n2_pos)) > 0 THEN
+  (CAST(n_pos AS DOUBLE) * n11_pos - CAST(n1_pos AS DOUBLE) * n2_pos)
+  / sqrt(CAST(n1_pos AS DOUBLE) * (n_pos - n1_pos) * n2_pos * (n_pos - n2_pos)) END"""
+
+
+def _mi_sql(n, n1, n2, n11):
+    cells = [(f"({n11})", f"({n1})", f"({n2})"),
+             (f"(({n1}) - ({n11}))", f"({n1})", f"(({n}) - ({n2}))"),
+             (f"(({n2}) - ({n11}))", f"(({n}) - ({n1}))", f"({n2})"),
+             (f"(({n}) - ({n1}) - ({n2}) + ({n11}))", f"(({n}) - ({n1}))", f"(({n}) - ({n2}))")]
+    terms = [f"CASE WHEN {x} > 0 THEN ({x} / ({n})) * ln((({n}) * {x}) / ({a} * {b})) ELSE 0.0 END"
+             for x, a, b in cells]
+    return f"CASE WHEN ({n}) > 0 THEN round(0.0 + {' + '.join(terms)}, 10) END"
+
+
+MI_POS = _mi_sql("CAST(n_pos AS DOUBLE)", "CAST(n1_pos AS DOUBLE)", "CAST(n2_pos AS DOUBLE)",
+                 "CAST(n11_pos AS DOUBLE)")
+
+register("J11_pair_counts", COUNTS_SQL)(counts)
+
+
+@register("A19_cooccur", f"WITH c AS ({COUNTS_SQL}) SELECT code1, code2, pos1, pos2, n11_pos AS cooccurrence_count FROM c")
+def a19_cooccur(spark, sf_dir):
+    return pr.cooccurrence(counts(spark, sf_dir))
+
+
+CORR_SQL = f"""WITH c AS ({COUNTS_SQL}), one AS (SELECT code1, code2, pos1, pos2, {PHI} AS correlation FROM c)
+SELECT * FROM one UNION ALL SELECT code2, code1, pos2, pos1, correlation FROM one"""
+
+
+@register("X5_corr", CORR_SQL)
+def x5_corr(spark, sf_dir):
+    return pr.correlations(counts(spark, sf_dir))
+
+
+@register("R4_top_corr", f"""WITH z AS ({CORR_SQL})
+SELECT * FROM z ORDER BY correlation DESC NULLS LAST, pos1, pos2 LIMIT 20""")
+def r4_top_corr(spark, sf_dir):
+    return pr._top(pr.correlations(counts(spark, sf_dir)), "correlation", 20)
+
+
+@register("R5_lower", f"WITH z AS ({CORR_SQL}) SELECT * FROM z WHERE pos1 > pos2")
+def r5_lower(spark, sf_dir):
+    return pr.lower_triangle(counts(spark, sf_dir))
+
+
+MI_SQL = f"WITH c AS ({COUNTS_SQL}) SELECT code1, code2, pos1, pos2, {MI_POS} AS mutual_info FROM c"
+
+
+@register("X6_mi", MI_SQL)
+def x6_mi(spark, sf_dir):
+    return pr.mutual_information(counts(spark, sf_dir))
+
+
+@register("U3_combined", f"""
+WITH c AS ({COUNTS_SQL}),
+corr AS (SELECT code1, code2, 'correlation' AS method, 1 AS prio FROM ({CORR_SQL}) z
+         ORDER BY correlation DESC NULLS LAST, pos1, pos2 LIMIT 20),
+co AS (SELECT code1, code2, 'cooccurrence' AS method, 2 AS prio FROM c
+       ORDER BY n11_pos DESC NULLS LAST, pos1, pos2 LIMIT 20),
+mi AS (SELECT code1, code2, 'mutual_info' AS method, 3 AS prio FROM ({MI_SQL}) m
+       ORDER BY mutual_info DESC NULLS LAST, pos1, pos2 LIMIT 20),
+u AS (SELECT * FROM corr UNION ALL SELECT * FROM co UNION ALL SELECT * FROM mi)
+SELECT code1, code2, arg_min(method, prio) AS method FROM u GROUP BY code1, code2""")
+def u3_combined(spark, sf_dir):
+    return pr.combined_top(counts(spark, sf_dir))
+
+
+TABLE_SQL = f"""WITH c AS ({COUNTS_SQL})
+SELECT code1, code2, pos1, pos2, n11_pos AS tp, n11_neg AS fp, n_pos - n11_pos AS fn, n_neg - n11_neg AS tn FROM c"""
+
+
+@register("A20_pair_table", TABLE_SQL)
+def a20_pair_table(spark, sf_dir):
+    return pr.pair_table(counts(spark, sf_dir))
+
+
+_D = "CAST({} AS DOUBLE)"
+_tp, _fp, _fn, _tn = (_D.format(x) for x in ("tp", "fp", "fn", "tn"))
+
+
+@register("X7_pair_stats", f"""WITH t AS ({TABLE_SQL}),
+s AS (SELECT code1, code2, tp, fp, fn, tn,
+        CASE WHEN {_tp} + {_fp} > 0 THEN {_tp} / ({_tp} + {_fp}) ELSE 0.0 END AS PPV,
+        CASE WHEN {_tp} + {_fn} > 0 THEN {_tp} / ({_tp} + {_fn}) ELSE 0.0 END AS prevalence_pos,
+        CASE WHEN {_fp} + {_tn} > 0 THEN {_fp} / ({_fp} + {_tn}) ELSE 0.0 END AS prevalence_neg,
+        CASE WHEN {_fn} > 0 THEN {_tp} / {_fn} ELSE 'Infinity'::DOUBLE END AS odds_pos,
+        CASE WHEN {_tn} > 0 THEN {_fp} / {_tn} ELSE 'Infinity'::DOUBLE END AS odds_neg,
+        {_mi_sql(f"{_tp} + {_fp} + {_fn} + {_tn}", f"{_tp} + {_fp}", f"{_tp} + {_fn}", _tp)} AS mutual_info
+      FROM t)
+SELECT code1, code2, tp, fp, fn, tn, PPV, prevalence_pos, prevalence_neg,
+       prevalence_pos - prevalence_neg AS prevalence_diff,
+       CASE WHEN odds_neg > 0 THEN odds_pos / odds_neg ELSE 'Infinity'::DOUBLE END AS odds_ratio, mutual_info
+FROM s""")
+def x7_pair_stats(spark, sf_dir):
+    return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=False)
+
+
+@register("X8_fisher", None)
+def x8_fisher(spark, sf_dir):
+    return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
+
+
+@register("X9_select_pairs", None)
+def x9_select_pairs(spark, sf_dir):
+    return pr.select_pairs(pr.pair_statistics(pr.pair_table(counts(spark, sf_dir))))
