@@ -17,7 +17,7 @@ def _c(c: ColumnLike) -> Column:
 def parse_date(c: ColumnLike, fmt: str = "yyyyMMdd") -> Column:
     """C4: drop a trailing '.0', trim, parse; unparseable text becomes NULL."""
     text = F.trim(F.regexp_replace(_c(c).cast("string"), r"\.0$", ""))
-    return F.try_to_date(text, F.lit(fmt))
+    return F.try_to_date(text, fmt)
 
 
 def impute_code(c: ColumnLike, fill: str = "Unknown") -> Column:
@@ -56,10 +56,15 @@ def flag_equals(c: ColumnLike, value) -> Column:
 
 
 def row_sum(cols: Sequence[ColumnLike], as_type: str = "double") -> Column:
-    """Row-wise sum with NULL as 0."""
+    """Row-wise sum with NULL as 0 (left to right), cast to ``as_type``."""
     zero = F.lit(0).cast(as_type)
-    return F.aggregate(F.array(*[_c(c).cast(as_type) for c in cols]), zero,
-                       lambda acc, x: acc + F.coalesce(x, zero))
+    terms = [F.coalesce(_c(c).cast(as_type), zero) for c in cols]
+    if not terms:
+        return zero
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total.cast(as_type)
 
 
 def code_slots(cols: Sequence[ColumnLike], drop=("", "None")) -> Column:

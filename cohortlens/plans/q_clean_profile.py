@@ -1 +1,163 @@
-"""(filled in below)"""
+"""Cleaning (C*) and profile (P*) queries over the driver tables.
+
+Dirty input is rendered from driver columns the way claim exports look:
+dates as 'yyyyMMdd' text (carrier rows with a trailing '.0', as a float
+export writes them), amounts as text, priority '4-NOT SPECIFIED' exported
+as the text 'None'.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortlens import schemas as S
+from cohortlens.functions import cleaning as cl
+from cohortlens.operators import clean as cn
+from cohortlens.operators import profile as pf
+from cohortlens.plans import params as P
+from cohortlens.plans.q_cohort import INDEX_SQL, features, features_sql, index_dates
+from cohortlens.plans.q_pairs import FLAGS
+from cohortlens.plans.registry import register
+from cohortlens.plans.sql_common import FILE_TYPE_SQL, ORDER_CODES_SQL, claims_sql
+from cohortlens.sources import driver
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def rendered_inpatient(spark, sf_dir):
+    o = driver.table(spark, sf_dir, "orders")
+    date_text = F.concat(F.date_format("o_orderdate", "yyyyMMdd"),
+                         F.when(F.col("o_orderstatus") == "P", F.lit(".0")).otherwise(F.lit("")))
+    dx = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("None")).otherwise(
+        F.lpad(F.substring_index("o_orderpriority", "-", 1), 3, "0"))
+    return o.select(F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
+                    F.col("o_orderkey").cast("string").alias("CLM_ID"), date_text.alias("CLM_FROM_DT"),
+                    F.col("o_totalprice").cast("string").alias("CLM_PMT_AMT"), dx.alias("ICD9_DGNS_CD_1"),
+                    F.col("o_orderstatus").alias("CLM_DRG_CD"))
+
+
+RENDERED_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS DESYNPUF_ID, CAST(o_orderkey AS VARCHAR) AS CLM_ID,
+  strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_orderstatus = 'P' THEN '.0' ELSE '' END AS CLM_FROM_DT,
+  CAST(o_totalprice AS VARCHAR) AS CLM_PMT_AMT,
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'None'
+       ELSE lpad(split_part(o_orderpriority, '-', 1), 3, '0') END AS ICD9_DGNS_CD_1,
+  o_orderstatus AS CLM_DRG_CD
+FROM orders"""
+TYPED_SQL = f"""SELECT DESYNPUF_ID, CLM_ID, try_strptime(CLM_FROM_DT, '%Y%m%d')::DATE AS CLM_FROM_DT,
+  TRY_CAST(CLM_PMT_AMT AS DOUBLE) AS CLM_PMT_AMT, ICD9_DGNS_CD_1, CLM_DRG_CD FROM ({RENDERED_SQL}) r"""
+
+
+@register("C1_types", TYPED_SQL)
+def c1_types(spark, sf_dir):
+    return cn.convert_types(rendered_inpatient(spark, sf_dir), "inpatient")
+
+
+@register("C3_impute", f"""SELECT DESYNPUF_ID, CLM_ID, CLM_FROM_DT, CLM_PMT_AMT,
+  coalesce(nullif(ICD9_DGNS_CD_1, 'None'), 'Unknown') AS ICD9_DGNS_CD_1,
+  coalesce(nullif(CLM_DRG_CD, 'None'), 'Unknown') AS CLM_DRG_CD
+FROM ({TYPED_SQL}) t WHERE DESYNPUF_ID IS NOT NULL AND CLM_ID IS NOT NULL AND CLM_PMT_AMT IS NOT NULL""")
+def c3_impute(spark, sf_dir):
+    return cn.handle_missing(cn.convert_types(rendered_inpatient(spark, sf_dir), "inpatient"), "inpatient")
+
+
+@register("C4_dates", f"""SELECT CLM_ID,
+  try_strptime(trim(regexp_replace(CLM_FROM_DT, '\\.0$', '')), '%Y%m%d')::DATE AS claim_date
+FROM ({RENDERED_SQL}) r""")
+def c4_dates(spark, sf_dir):
+    r = rendered_inpatient(spark, sf_dir)
+    return r.select("CLM_ID", cl.parse_date("CLM_FROM_DT").alias("claim_date"))
+
+
+@register("C7_year_counts", f"""SELECT file_type, count(*) AS claims
+FROM ({claims_sql(f'{P.YEAR}-01-01', f'{P.YEAR}-12-31')}) c GROUP BY file_type""")
+def c7_year_counts(spark, sf_dir):
+    c = driver.claims(spark, sf_dir).filter(cl.year_range(S.DATE, P.YEAR))
+    return c.groupBy(S.FILE_TYPE).agg(F.count("*").alias("claims"))
+
+
+@register("C11_recode", f"""SELECT c_custkey AS person_id,
+  {', '.join(f"CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END AS seg_{s}" for s in SEGMENTS)},
+  {' + '.join(f"CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END" for s in SEGMENTS)} AS flag_count
+FROM customer""")
+def c11_recode(spark, sf_dir):
+    c = driver.table(spark, sf_dir, "customer")
+    flags = [cl.flag_equals("c_mktsegment", s).alias(f"seg_{s}") for s in SEGMENTS]
+    out = c.select(F.col("c_custkey").alias(S.PERSON), *flags)
+    return out.withColumn("flag_count", cl.row_sum([f"seg_{s}" for s in SEGMENTS], "int"))
+
+
+LINE_SLOTS = 7
+
+
+@register("C13_line_sum", f"""SELECT l_orderkey, CAST(sum(CASE WHEN l_linenumber BETWEEN 1 AND {LINE_SLOTS}
+  THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS claim_amt
+FROM lineitem GROUP BY l_orderkey""")
+def c13_line_sum(spark, sf_dir):
+    """Order lines pivoted to the carrier's wide line-amount slots, then the
+    row-wise sum with NULL slots as 0."""
+    li = driver.table(spark, sf_dir, "lineitem")
+    wide = (li.groupBy("l_orderkey").pivot("l_linenumber", list(range(1, LINE_SLOTS + 1)))
+            .agg(F.sum(cl.money("l_extendedprice"))))
+    slots = [str(i) for i in range(1, LINE_SLOTS + 1)]
+    return wide.select("l_orderkey", cl.row_sum([F.col(f"`{x}`") for x in slots], "decimal(28,2)").cast("double").alias(S.AMOUNT))
+
+
+@register("C19_calendar", f"""SELECT claim_id, CAST(weekofyear(claim_date) AS INTEGER) AS week,
+  strftime(claim_date, '%Y-%m') AS month FROM ({claims_sql(f'{P.YEAR}-01-01', f'{P.YEAR}-12-31')}) c""")
+def c19_calendar(spark, sf_dir):
+    c = driver.claims(spark, sf_dir, f"{P.YEAR}-01-01", f"{P.YEAR}-12-31")
+    return c.select(S.CLAIM, F.weekofyear(S.DATE).alias("week"), F.date_format(S.DATE, "yyyy-MM").alias("month"))
+
+
+_P1_COLS = ["person_id", "claim_id", "claim_date", "claim_amt", "file_type", "primary_dx", "icd_codes",
+            "hcpcs_codes"]
+
+
+@register("P1_nulls", f"""WITH c AS ({claims_sql(codes=True)}), n AS (SELECT count(*) AS total FROM c),
+m AS ({' UNION ALL '.join(f"SELECT '{x}' AS column_name, count(*) - count({x}) AS null_count FROM c" for x in _P1_COLS)})
+SELECT column_name, null_count,
+  CASE WHEN total > 0 THEN floor((20000 * null_count + total) / (2 * total)) / 100.0 END AS null_pct
+FROM m, n WHERE null_count > 0""")
+def p1_nulls(spark, sf_dir):
+    return pf.null_profile(driver.claims(spark, sf_dir, codes=True))
+
+
+@register("P2_counts", f"SELECT count(*) AS rows, CAST(sum(case_ind) AS BIGINT) AS positives FROM ({INDEX_SQL}) i")
+def p2_counts(spark, sf_dir):
+    return pf.counts(index_dates(spark, sf_dir), S.LABEL)
+
+
+@register("P3_summary", """SELECT count(c_acctbal) AS count,
+  CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c_acctbal) AS mean,
+  round(stddev_samp(c_acctbal), 6) AS std, min(c_acctbal) AS min,
+  round(quantile_cont(c_acctbal, 0.25), 6) AS q25, round(quantile_cont(c_acctbal, 0.5), 6) AS q50,
+  round(quantile_cont(c_acctbal, 0.75), 6) AS q75, max(c_acctbal) AS max FROM customer""")
+def p3_summary(spark, sf_dir):
+    return pf.numeric_summary(driver.table(spark, sf_dir, "customer"), "c_acctbal")
+
+
+@register("P4_values", """SELECT c_mktsegment, count(*) AS count FROM customer
+WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment""")
+def p4_values(spark, sf_dir):
+    return pf.value_counts(driver.table(spark, sf_dir, "customer"), "c_mktsegment")
+
+
+@register("P5_schema", None)
+def p5_schema(spark, sf_dir):
+    return pf.non_null_schema(driver.table(spark, sf_dir, "customer"))
+
+
+@register("P6_prevalence", f"""WITH f AS ({features_sql(hcpcs=(), pairs=(), demographics=False)})
+{' UNION ALL '.join(f"SELECT '{c}' AS flag, avg({c}) * 100 AS prevalence_pct FROM f" for c in FLAGS)}""")
+def p6_prevalence(spark, sf_dir):
+    return pf.flag_prevalence(features(spark, sf_dir, hcpcs=(), pairs=(), demographics=False), FLAGS)
+
+
+@register("P7_histogram", """WITH m AS (SELECT CAST(min(c_acctbal) AS DOUBLE) AS lo, CAST(max(c_acctbal) AS DOUBLE) AS hi
+  FROM customer),
+b AS (SELECT CAST(CASE WHEN hi > lo THEN least(floor((c_acctbal - lo) / (hi - lo) * 30) + 1, 30) ELSE 1 END
+        AS INTEGER) AS bin, lo, hi FROM customer, m WHERE c_acctbal IS NOT NULL)
+SELECT bin, any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 30 AS bin_start, count(*) AS count
+FROM b GROUP BY bin""")
+def p7_histogram(spark, sf_dir):
+    return pf.histogram(driver.table(spark, sf_dir, "customer"), "c_acctbal", 30)
