@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference analyses batch claim files only: it has no stream source,
+watermark, window or stateful operator, so nothing here is built as a
+streaming job.  Claim files arriving over time are handled by re-running the
+batch plans over the folder (the sources read every file of a type).
+"""
