@@ -12,10 +12,15 @@ from cohortlens.functions.cleaning import year_range
 def find_cases(claims: DataFrame, code: str, year: int, codes: str = S.ICD,
                person: str = S.PERSON, date: str = S.DATE) -> DataFrame:
     """Q4: people with a claim in ``year`` carrying ``code`` in any slot, and
-    their latest such date (person, latest_case_date).  Partial max per map
-    task before the shuffle, so a hot person costs one row per task."""
+    their latest such date (person, latest_case_date)."""
     hit = claims.filter(year_range(date, year) & F.array_contains(F.col(codes), F.lit(code)))
-    return hit.groupBy(person).agg(F.max(date).alias("latest_case_date"))
+    return latest_dates(hit, person, date)
+
+
+def latest_dates(case_claims: DataFrame, person: str = S.PERSON, date: str = S.DATE) -> DataFrame:
+    """A5: latest case-claim date per person.  Partial max per map task
+    before the shuffle, so a hot person costs one row per task."""
+    return case_claims.groupBy(person).agg(F.max(date).alias("latest_case_date"))
 
 
 def seeded_draw_key(person: str, claim: str, seed: int) -> F.Column:

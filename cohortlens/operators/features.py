@@ -73,6 +73,15 @@ def engineer_features(index_dates: DataFrame, claims: DataFrame, demographics: D
     window = lookback(index_dates, claims.select(S.PERSON, S.CLAIM, S.DATE, S.AMOUNT, S.FILE_TYPE,
                                                  *([S.ICD] if (icd_codes or pairs) else []),
                                                  *([S.HCPCS] if hcpcs_codes else [])), days)
+    return features_from_window(index_dates, window, demographics, days, icd_codes, hcpcs_codes, pairs,
+                                types, demographic_fill)
+
+
+def features_from_window(index_dates: DataFrame, window: DataFrame, demographics: DataFrame | None,
+                         days: int, icd_codes: Sequence[str] = (), hcpcs_codes: Sequence[str] = (),
+                         pairs: Sequence[tuple[str, str]] = (), types: Sequence[str] = tuple(S.CLAIM_TYPES),
+                         demographic_fill: Sequence[str] = ()) -> DataFrame:
+    """Q6 from an already windowed claim table (see ``engineer_features``)."""
     aggs = feature_aggregates(days, icd_codes, hcpcs_codes, pairs, types)
     agg = window.groupBy(*KEYS).agg(*aggs)
     base = index_dates

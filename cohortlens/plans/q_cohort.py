@@ -37,8 +37,8 @@ def _memo(fn):
 
 @_memo
 def cohort_claims(spark, sf_dir):
-    """Claims in the load window (C8) with their code slots."""
-    return driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END, codes=True)
+    """Claims in the load window (C8), without code slots."""
+    return driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END)
 
 
 @_memo
@@ -49,25 +49,40 @@ def covered(spark, sf_dir):
 
 @_memo
 def cases(spark, sf_dir):
-    inpatient = cohort_claims(spark, sf_dir).filter(F.col(S.FILE_TYPE) == "inpatient")
-    return co.find_cases(inpatient, P.CASE_CODE, P.YEAR)
+    """Q4: inpatient claims of the study year with the case code in a slot
+    (a semi-join against the orders having a line of that brand)."""
+    from cohortlens.functions.cleaning import year_range
+    inpatient = cohort_claims(spark, sf_dir).filter((F.col(S.FILE_TYPE) == "inpatient")
+                                                    & year_range(S.DATE, P.YEAR))
+    hit = inpatient.join(driver.orders_with_brand(spark, sf_dir, P.CASE_CODE), S.CLAIM, "left_semi")
+    return co.latest_dates(hit)
 
 
 @_memo
 def index_dates(spark, sf_dir):
-    return co.assign_index_dates(cases(spark, sf_dir), cohort_claims(spark, sf_dir), covered(spark, sf_dir),
-                                 P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
+    """Q5, written once to the session's checkpoint folder (the reference
+    saves this stage too): one row per person, read by every later stage
+    instead of re-running case finding and the control draw."""
+    import tempfile
+    from cohortlens.session import checkpoint_dir
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
+    idx = co.assign_index_dates(cases(spark, sf_dir), cohort_claims(spark, sf_dir), covered(spark, sf_dir),
+                                P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
+    return idx.checkpoint(eager=True)
 
 
-def window_claims(spark, sf_dir, days=L):
-    return fe.lookback(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), days)
+def window_claims(spark, sf_dir, days=L, codes=True):
+    """Claims in each person's lookback window; code slots are attached
+    to these claims only."""
+    w = fe.lookback(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), days)
+    return driver.attach_codes(spark, sf_dir, w) if codes else w
 
 
 def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES), pairs=tuple(PAIRS),
              demographics=True, days=L):
     demo = covered(spark, sf_dir).drop("coverage") if demographics else None
-    return fe.engineer_features(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), demo, days,
-                                icd, hcpcs, pairs)
+    window = window_claims(spark, sf_dir, days, codes=bool(icd or hcpcs or pairs))
+    return fe.features_from_window(index_dates(spark, sf_dir), window, demo, days, icd, hcpcs, pairs)
 
 
 # ---- SQL side ---------------------------------------------------------------
@@ -163,8 +178,8 @@ def j1_covered_with_claims(spark, sf_dir):
 @register("J6_lookback", f"""
 SELECT person_id, case_ind, index_date, claim_id, claim_date, claim_amt, file_type FROM ({window_sql()}) w""")
 def j6_lookback(spark, sf_dir):
-    return window_claims(spark, sf_dir).select(S.PERSON, S.LABEL, S.INDEX_DATE, S.CLAIM, S.DATE,
-                                               S.AMOUNT, S.FILE_TYPE)
+    return window_claims(spark, sf_dir, codes=False).select(S.PERSON, S.LABEL, S.INDEX_DATE, S.CLAIM, S.DATE,
+                                                            S.AMOUNT, S.FILE_TYPE)
 
 
 @register("J5_demographics", f"""

@@ -69,13 +69,13 @@ SELECT case_ind, file_type, sum(claim_count) / count(*) AS avg_claim_count,
        CAST(sum(spend) AS DOUBLE) / count(*) AS avg_spend
 FROM per GROUP BY ALL""")
 def a15_class_avgs(spark, sf_dir):
-    return en.class_averages(window_claims(spark, sf_dir))
+    return en.class_averages(window_claims(spark, sf_dir, codes=False))
 
 
 @register("A16_class_sizes", f"""WITH {W}
 SELECT case_ind, count(DISTINCT person_id) AS people FROM w GROUP BY case_ind""")
 def a16_class_sizes(spark, sf_dir):
-    return (window_claims(spark, sf_dir).select(S.PERSON, S.LABEL).distinct()
+    return (window_claims(spark, sf_dir, codes=False).select(S.PERSON, S.LABEL).distinct()
             .groupBy(S.LABEL).agg(F.count("*").alias("people")))
 
 
@@ -86,8 +86,7 @@ SELECT code, np / n_pos AS prevalence_pos, nn / n_neg AS prevalence_neg,
        np / n_pos - nn / n_neg AS difference
 FROM pc, n ORDER BY difference DESC, code LIMIT 10""")
 def a17_prevalence(spark, sf_dir):
-    w = window_claims(spark, sf_dir)
-    return en.prevalence_by_class(w, en.explode_codes(w))
+    return en.prevalence_by_class(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
 
 
 CONT_SQL = f"""WITH {W}, {LONG}, {PRES}, {WIN_N}
@@ -99,8 +98,7 @@ FROM p, n GROUP BY code"""
 
 @register("A18_contingency", CONT_SQL)
 def a18_contingency(spark, sf_dir):
-    w = window_claims(spark, sf_dir)
-    return en.contingency(w, en.explode_codes(w))
+    return en.contingency(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
 
 
 STATS_SQL = f"""WITH t AS ({CONT_SQL}),
@@ -122,8 +120,8 @@ FROM g"""
 
 
 def _stats(spark, sf_dir, p_values=False):
-    w = window_claims(spark, sf_dir)
-    return en.code_statistics(en.contingency(w, en.explode_codes(w)), p_values=p_values)
+    table = en.contingency(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
+    return en.code_statistics(table, p_values=p_values)
 
 
 @register("X2_code_stats", STATS_SQL)

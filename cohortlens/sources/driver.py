@@ -122,6 +122,27 @@ def order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.array_sort(F.collect_set("p_type")).alias(S.HCPCS)))
 
 
+def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame) -> DataFrame:
+    """Code-slot arrays for the given claims only: line items are first
+    semi-joined to the claim ids (a selective filter on the largest table),
+    then joined to part and grouped per order."""
+    ids = claims.select(F.col(S.CLAIM).alias("l_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(ids, "l_orderkey", "left_semi")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    codes = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
+             .agg(F.array_sort(F.collect_set("p_brand")).alias(S.ICD),
+                  F.array_sort(F.collect_set("p_type")).alias(S.HCPCS)))
+    return claims.join(codes, claims[S.CLAIM] == codes["l_orderkey"], "left").drop("l_orderkey")
+
+
+def orders_with_brand(spark: SparkSession, sf_dir: str, brand: str) -> DataFrame:
+    """Order keys having a line of a part with ``brand`` (the brand filter is
+    pushed into the part scan; the part keys of one brand are a small side)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf_dir, "part").filter(F.col("p_brand") == brand).select("p_partkey")
+    return li.join(p, li.l_partkey == p.p_partkey, "left_semi").select(F.col("l_orderkey").alias(S.CLAIM))
+
+
 def beneficiaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as beneficiaries (person, sex, state, coverage, balance)."""
     c = table(spark, sf_dir, "customer")
