@@ -37,7 +37,7 @@ def a12_presence(spark, sf_dir):
     return en.presence(_long(spark, sf_dir))
 
 
-@register("A14_class_means", f"""WITH {W}, {LONG},
+A14_SQL = f"""WITH {W}, {LONG},
 f AS (SELECT person_id, case_ind, code, count(*) AS frequency FROM l WHERE code IS NOT NULL GROUP BY ALL),
 n AS (SELECT CAST(count(DISTINCT CASE WHEN case_ind = 1 THEN person_id END) AS DOUBLE) AS n_pos,
              CAST(count(DISTINCT CASE WHEN case_ind = 0 THEN person_id END) AS DOUBLE) AS n_neg FROM f),
@@ -52,12 +52,17 @@ SELECT code, pp AS prev_pos, pn AS prev_neg, pp - pn AS prev_diff,
        CASE WHEN pn = 0 THEN NULL ELSE pp / pn END AS prev_ratio,
        fp AS freq_pos, fn AS freq_neg, fp - fn AS freq_diff,
        CASE WHEN fn = 0 THEN 'Infinity'::DOUBLE ELSE fp / fn END AS freq_ratio
-FROM m""")
+FROM m"""
+
+
+@register("A14_class_means", A14_SQL)
 def a14_class_means(spark, sf_dir):
     return en.class_means(_long(spark, sf_dir))
 
 
-@register("X4_screen", None)
+@register("X4_screen", f"""WITH z AS ({A14_SQL})
+SELECT code FROM z WHERE prev_diff > 0.01 AND prev_ratio > 2
+UNION SELECT code FROM z WHERE freq_diff > 0.01 AND freq_ratio > 2""")
 def x4_screen(spark, sf_dir):
     return en.screen_codes(en.class_means(_long(spark, sf_dir)))
 
