@@ -41,6 +41,16 @@ def class_size(people: DataFrame, cls: int, person: str = S.PERSON, label: str =
             .agg(F.count("*").cast("double")).scalar())
 
 
+def pivot_wide(long: DataFrame, codes, value: str = "presence", person: str = S.PERSON,
+               label: str = S.LABEL) -> DataFrame:
+    """Long (person, class, code) rows to one column per code, absent = 0.
+    ``value`` 'presence' takes the max of 1, 'frequency' counts occurrences.
+    The code list is explicit, so no distinct pass runs to find the columns."""
+    g = long.groupBy(person, label).pivot(CODE, list(codes))
+    out = g.agg(F.max(F.lit(1))) if value == "presence" else g.agg(F.count(F.lit(1)))
+    return out.fillna(0, subset=list(codes))
+
+
 def class_means(long: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -> DataFrame:
     """Per code, mean presence and mean frequency by class over the
     people with at least one code in the window; difference and ratio.

@@ -27,11 +27,23 @@ def counts(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sum(label).cast("long").alias("positives"))
 
 
-def numeric_summary(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
-    """Count, mean, sample std, min, exact quartiles (linear
-    interpolation), max.  Mean from an exact decimal sum; spread statistics
-    rounded to ``digits``."""
+def numeric_summary(df: DataFrame, col: str, digits: int = 6, approx: bool = False,
+                    accuracy: int = 1_000_000) -> DataFrame:
+    """Count, mean, sample std, min, quartiles, max.  Mean from an exact
+    decimal sum; spread statistics rounded to ``digits``.
+
+    Exact quartiles (linear interpolation) keep one counter per distinct
+    value in the final task, which is bounded only when the value domain is
+    (money with two decimals in a fixed range is); ``approx=True`` uses a
+    bounded-memory quantile sketch with relative rank error 1/accuracy."""
     x = F.col(col)
+    if approx:
+        qs = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
+        return df.agg(
+            F.count(x).alias("count"),
+            (F.sum(x.cast("decimal(18,2)")).cast("double") / F.count(x)).alias("mean"),
+            F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"),
+            qs[0].alias("q25"), qs[1].alias("q50"), qs[2].alias("q75"), F.max(x).alias("max"))
     return df.agg(
         F.count(x).alias("count"),
         (F.sum(x.cast("decimal(18,2)")).cast("double") / F.count(x)).alias("mean"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortlens import schemas as S
 from cohortlens.functions import stats as st
 from cohortlens.operators import enrich as en
+from cohortlens.plans import params as P
 from cohortlens.plans.q_cohort import window_claims, window_sql
 from cohortlens.plans.registry import register
 
@@ -32,6 +33,22 @@ def a11_frequency(spark, sf_dir):
     return en.frequency(_long(spark, sf_dir))
 
 
+_PIV = ", ".join(f"max(CASE WHEN code = '{c}' THEN 1 ELSE 0 END) AS \"{c}\"" for c in P.ICD_CODES)
+_FRQ = ", ".join(f"count(CASE WHEN code = '{c}' THEN 1 END) AS \"{c}\"" for c in P.ICD_CODES)
+
+
+@register("A13_pivot_presence", f"""WITH {W}, {LONG}
+SELECT person_id, case_ind, {_PIV} FROM l WHERE code IS NOT NULL GROUP BY person_id, case_ind""")
+def a13_pivot_presence(spark, sf_dir):
+    return en.pivot_wide(_long(spark, sf_dir), P.ICD_CODES, "presence")
+
+
+@register("A13_pivot_frequency", f"""WITH {W}, {LONG}
+SELECT person_id, case_ind, {_FRQ} FROM l WHERE code IS NOT NULL GROUP BY person_id, case_ind""")
+def a13_pivot_frequency(spark, sf_dir):
+    return en.pivot_wide(_long(spark, sf_dir), P.ICD_CODES, "frequency")
+
+
 @register("A12_presence", f"WITH {W}, {LONG}, {PRES} SELECT * FROM p")
 def a12_presence(spark, sf_dir):
     return en.presence(_long(spark, sf_dir))

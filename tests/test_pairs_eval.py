@@ -83,3 +83,20 @@ def test_stratified_split_exact(spark):
     a = {r.pid for r in s.filter(F.col("is_test") == 1).collect()}
     b = {r.pid for r in again.filter(F.col("is_test") == 1).collect()}
     assert a == b  # independent of partitioning
+
+
+def test_melt_and_pivot(spark):
+    from cohortlens.operators import enrich as en
+    df = spark.createDataFrame([("P", 1, "A", "", "None"), ("Q", 0, "B", "A", None)],
+                               "person_id string, case_ind int, s1 string, s2 string, s3 string")
+    long = en.melt_slots(df, ["s1", "s2", "s3"])
+    assert sorted((r.person_id, r.code) for r in long.collect()) == [("P", "A"), ("Q", "A"), ("Q", "B")]
+    wide = {r.person_id: r for r in en.pivot_wide(long, ["A", "B", "C"]).collect()}
+    assert (wide["P"].A, wide["P"].B, wide["P"].C) == (1, 0, 0) and (wide["Q"].A, wide["Q"].B) == (1, 1)
+
+
+def test_summary_approx_close_to_exact(spark):
+    from cohortlens.operators import profile as pf
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
+    ex, ap = pf.numeric_summary(df, "x").first(), pf.numeric_summary(df, "x", approx=True).first()
+    assert ex.q50 == 500.0 and abs(ap.q50 - 500.0) <= 1.0 and ex["count"] == ap["count"] == 1001
