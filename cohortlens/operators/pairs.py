@@ -37,8 +37,8 @@ def pair_counts(df: DataFrame, flags: Sequence[str], label: str = S.LABEL) -> Da
     pairs = [(i, j) for i in range(len(flags)) for j in range(i + 1, len(flags))]
     if not pairs:
         raise ValueError("need at least two flag columns")
-    ii = F.array(*[F.lit(i) for i, _ in pairs])
-    jj = F.array(*[F.lit(j) for _, j in pairs])
+    ii = F.expr("array(" + ",".join(str(i) for i, _ in pairs) + ")")
+    jj = F.expr("array(" + ",".join(str(j) for _, j in pairs) + ")")
     v = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in flags])
     prods = F.transform(F.sequence(F.lit(0), F.lit(len(pairs) - 1)),
                         lambda k: F.get(F.col("_v"), F.get(ii, k)) * F.get(F.col("_v"), F.get(jj, k)))
@@ -47,7 +47,7 @@ def pair_counts(df: DataFrame, flags: Sequence[str], label: str = S.LABEL) -> Da
     per_class = per_person.groupBy(label).agg(
         F.count("*").alias("n"), vector_to_array(Summarizer.sum(F.col("_sv"))).alias("_s"),
         vector_to_array(Summarizer.sum(F.col("_pv"))).alias("_p"))
-    names = F.array(*[F.lit(c) for c in flags])
+    names = F.expr("array(" + ",".join("'" + c.replace("'", "''") + "'" for c in flags) + ")")
     long = per_class.select(label, "n", "_s", F.posexplode("_p").alias("k", "_n11")).select(
         label, "n",
         F.get(names, F.get(ii, F.col("k"))).alias("code1"), F.get(names, F.get(jj, F.col("k"))).alias("code2"),
