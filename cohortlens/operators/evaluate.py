@@ -9,7 +9,6 @@ each slice finishes the sum.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -42,7 +41,7 @@ def cumulative_before(ds: DataFrame, order_col: str, cols: Sequence[str], slices
     parameter) whose prefix sums are joined back by slice id.
     """
     spark = ds.sparkSession
-    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
+    checkpoint_dir(spark, fallback="local-temp")
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (ds.repartitionByRange(n, order_col)
               .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True))

@@ -63,9 +63,8 @@ def index_dates(spark, sf_dir):
     """Q5, written once to the session's checkpoint folder (the reference
     saves this stage too): one row per person, read by every later stage
     instead of re-running case finding and the control draw."""
-    import tempfile
     from cohortlens.session import checkpoint_dir
-    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
+    checkpoint_dir(spark, fallback="local-temp")
     idx = co.assign_index_dates(cases(spark, sf_dir), cohort_claims(spark, sf_dir), covered(spark, sf_dir),
                                 P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
     return idx.checkpoint(eager=True)

@@ -56,13 +56,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
     On a cluster the setting must come from the session; a fallback (for
     tests on one machine) is only applied when nothing is configured.
+    ``fallback="local-temp"`` makes a fresh temporary folder in that case.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set on this session")
+    if fallback == "local-temp":
+        import tempfile
+        fallback = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
