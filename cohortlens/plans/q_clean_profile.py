@@ -15,7 +15,7 @@ from cohortlens.functions import cleaning as cl
 from cohortlens.operators import clean as cn
 from cohortlens.operators import profile as pf
 from cohortlens.plans import params as P
-from cohortlens.plans.q_cohort import INDEX_SQL, features, features_sql, index_dates
+from cohortlens.plans.q_cohort import INDEX_SQL, dataset, features_sql, index_dates
 from cohortlens.plans.q_pairs import FLAGS
 from cohortlens.plans.registry import register
 from cohortlens.plans.sql_common import FILE_TYPE_SQL, ORDER_CODES_SQL, claims_sql
@@ -150,7 +150,7 @@ def p5_schema(spark, sf_dir):
 @register("P6_prevalence", f"""WITH f AS ({features_sql(hcpcs=(), pairs=(), demographics=False)})
 {' UNION ALL '.join(f"SELECT '{c}' AS flag, avg({c}) * 100 AS prevalence_pct FROM f" for c in FLAGS)}""")
 def p6_prevalence(spark, sf_dir):
-    return pf.flag_prevalence(features(spark, sf_dir, hcpcs=(), pairs=(), demographics=False), FLAGS)
+    return pf.flag_prevalence(dataset(spark, sf_dir), FLAGS)
 
 
 @register("P7_histogram", """WITH m AS (SELECT CAST(min(c_acctbal) AS DOUBLE) AS lo, CAST(max(c_acctbal) AS DOUBLE) AS hi

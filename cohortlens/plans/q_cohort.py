@@ -84,6 +84,16 @@ def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES),
     return fe.features_from_window(index_dates(spark, sf_dir), window, demo, days, icd, hcpcs, pairs)
 
 
+@_memo
+def dataset(spark, sf_dir):
+    """Q7: the full feature dataset, written once to the session's checkpoint
+    folder; the pair analysis and the model read it from there (the
+    reference saves it and reads it back the same way)."""
+    from cohortlens.session import checkpoint_dir
+    checkpoint_dir(spark, fallback="local-temp")
+    return features(spark, sf_dir).checkpoint(eager=True)
+
+
 # ---- SQL side ---------------------------------------------------------------
 
 CL_SQL = claims_sql(P.CLAIM_START, P.CLAIM_END, codes=True)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from cohortlens.operators import features as fe
 from cohortlens.operators import pairs as pr
 from cohortlens.plans import params as P
-from cohortlens.plans.q_cohort import features, features_sql
+from cohortlens import schemas as S
+from cohortlens.plans.q_cohort import dataset, features_sql
 from cohortlens.plans.registry import register
 
 FLAGS = [f"icd9_{fe.code_token(c)}_{P.LOOKBACK_DAYS}d" for c in P.ICD_CODES]
 
 
 def flag_table(spark, sf_dir):
-    return features(spark, sf_dir, hcpcs=(), pairs=(), demographics=False)
+    """Person-level diagnosis flags, read from the saved feature dataset (Q7)."""
+    return dataset(spark, sf_dir).select(S.PERSON, S.LABEL, S.INDEX_DATE, *FLAGS)
 
 
 def counts(spark, sf_dir):

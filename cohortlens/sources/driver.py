@@ -57,6 +57,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), spark.sparkContext.applicationId, path)
     df = _SCANS.get(key)
     if df is None:
+        from cohortlens.session import configure
+        configure(spark)
         reader = spark.read
         if name in TABLE_SCHEMAS:
             reader = reader.schema(TABLE_SCHEMAS[name])
