@@ -56,19 +56,41 @@ def chi2_pvalue(chi2: pd.Series) -> pd.Series:
     return chi2.map(lambda x: math.erfc(math.sqrt(x / 2.0)) if x is not None and x == x else None)
 
 
+HALF_LN_2PI = 0.9189385332046728  # ln(2 pi) / 2
+LN_TOL = 9.999999500000033e-08  # ln(1 + 1e-7), relative tolerance for "not more likely"
+
+
+def log_factorial(n: float) -> float:
+    """ln(n!) for integer n >= 0: exact product for n <= 18, else the Stirling
+    series of ln Gamma(n + 1) to the z^-7 term (error below 2e-15)."""
+    if n <= 18:
+        return math.log(float(math.factorial(int(n))))
+    z = n + 1.0
+    return ((z - 0.5) * math.log(z) - z + HALF_LN_2PI + 1.0 / (12.0 * z) - 1.0 / (360.0 * (z * z * z))
+            + 1.0 / (1260.0 * (z * z * z * z * z)) - 1.0 / (1680.0 * (z * z * z * z * z * z * z)))
+
+
+def log_factorial_sql(n: str) -> str:
+    """The same formula as ``log_factorial`` in DuckDB SQL."""
+    z = f"(CAST({n} AS DOUBLE) + 1.0)"
+    return (f"(CASE WHEN {n} <= 18 THEN ln(CAST(factorial(CAST({n} AS INTEGER)) AS DOUBLE)) ELSE "
+            f"(({z} - 0.5) * ln({z}) - {z} + {HALF_LN_2PI!r} + 1.0 / (12.0 * {z}) "
+            f"- 1.0 / (360.0 * ({z} * {z} * {z})) + 1.0 / (1260.0 * ({z} * {z} * {z} * {z} * {z})) "
+            f"- 1.0 / (1680.0 * ({z} * {z} * {z} * {z} * {z} * {z} * {z}))) END)")
+
+
 def _fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """Two-sided Fisher exact p: sum of hypergeometric probabilities of all
     tables with the same margins that are not more likely than the observed
     one (relative tolerance 1e-7)."""
     r1, c1, n = a + b, a + c, a + b + c + d
     lo, hi = max(0, r1 + c1 - n), min(r1, c1)
-    x = np.arange(lo, hi + 1, dtype=np.float64)
-    lg = np.vectorize(math.lgamma)
-    const = math.lgamma(r1 + 1) + math.lgamma(n - r1 + 1) + math.lgamma(c1 + 1) + math.lgamma(n - c1 + 1) \
-        - math.lgamma(n + 1)
-    logp = const - (lg(x + 1) + lg(r1 - x + 1) + lg(c1 - x + 1) + lg(n - r1 - c1 + x + 1))
-    obs = logp[int(a - lo)]
-    p = float(np.exp(logp[logp <= obs + math.log1p(1e-7)]).sum())
+    lf = log_factorial
+    const = lf(r1) + lf(n - r1) + lf(c1) + lf(n - c1) - lf(n)
+    logp = [const - (lf(k) + lf(r1 - k) + lf(c1 - k) + lf(n - r1 - c1 + k)) for k in range(lo, hi + 1)]
+    obs = logp[a - lo]
+    cut = obs + LN_TOL  # probability <= observed * (1 + 1e-7)
+    p = math.fsum(math.exp(v) for v in logp if v <= cut)  # exactly rounded sum
     return min(p, 1.0)
 
 

@@ -124,7 +124,7 @@ _D = "CAST({} AS DOUBLE)"
 _tp, _fp, _fn, _tn = (_D.format(x) for x in ("tp", "fp", "fn", "tn"))
 
 
-@register("X7_pair_stats", f"""WITH t AS ({TABLE_SQL}),
+X7_SQL = f"""WITH t AS ({TABLE_SQL}),
 s AS (SELECT code1, code2, tp, fp, fn, tn,
         CASE WHEN {_tp} + {_fp} > 0 THEN {_tp} / ({_tp} + {_fp}) ELSE 0.0 END AS PPV,
         CASE WHEN {_tp} + {_fn} > 0 THEN {_tp} / ({_tp} + {_fn}) ELSE 0.0 END AS prevalence_pos,
@@ -136,16 +136,46 @@ s AS (SELECT code1, code2, tp, fp, fn, tn,
 SELECT code1, code2, tp, fp, fn, tn, PPV, prevalence_pos, prevalence_neg,
        prevalence_pos - prevalence_neg AS prevalence_diff,
        CASE WHEN odds_neg > 0 THEN odds_pos / odds_neg ELSE 'Infinity'::DOUBLE END AS odds_ratio, mutual_info
-FROM s""")
+FROM s"""
+
+
+@register("X7_pair_stats", X7_SQL)
 def x7_pair_stats(spark, sf_dir):
     return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=False)
 
 
-@register("X8_fisher", None)
+_LF = __import__("cohortlens.functions.stats", fromlist=["log_factorial_sql"]).log_factorial_sql
+FISHER_SQL = f"""WITH t AS ({TABLE_SQL}),
+f AS (SELECT code1, code2, tp, fp, fn, tn, tp + fp AS r1, tp + fn AS c1, tp + fp + fn + tn AS n FROM t),
+g AS (SELECT *, {_LF('r1')} + {_LF('n - r1')} + {_LF('c1')} + {_LF('n - c1')} - {_LF('n')} AS const FROM f),
+sup AS (SELECT g.code1, g.code2, g.tp, x.k,
+          const - ({_LF('x.k')} + {_LF('r1 - x.k')} + {_LF('c1 - x.k')} + {_LF('n - r1 - c1 + x.k')}) AS logp
+        FROM g, LATERAL (SELECT unnest(range(greatest(0, r1 + c1 - n), least(r1, c1) + 1)) AS k) x),
+obs AS (SELECT code1, code2, logp + 9.999999500000033e-08 AS cut FROM sup WHERE k = tp)
+SELECT s.code1, s.code2, round(least(fsum(CASE WHEN s.logp <= o.cut THEN exp(s.logp) ELSE 0.0 END), 1.0), 12)
+         AS p_value
+FROM sup s JOIN obs o ON s.code1 = o.code1 AND s.code2 = o.code2
+GROUP BY s.code1, s.code2"""
+
+
+def _with_p(spark, sf_dir):
+    from pyspark.sql import functions as F
+    st = pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
+    return st.withColumn("p_value", F.round("p_value", 12))
+
+
+@register("X8_fisher", FISHER_SQL)
 def x8_fisher(spark, sf_dir):
-    return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
+    return _with_p(spark, sf_dir).select("code1", "code2", "p_value")
+
+
+X9_SQL = f"""WITH z AS (SELECT a.*, b.p_value FROM ({X7_SQL}) a
+                       JOIN ({FISHER_SQL}) b ON a.code1 = b.code1 AND a.code2 = b.code2)
+SELECT * FROM z WHERE p_value < 0.05 AND PPV >= 0.5 AND odds_ratio > 2
+UNION
+SELECT * FROM (SELECT * FROM z ORDER BY p_value, code1, code2 LIMIT 20) top"""
 
 
-@register("X9_select_pairs", None)
+@register("X9_select_pairs", X9_SQL)
 def x9_select_pairs(spark, sf_dir):
-    return pr.select_pairs(pr.pair_statistics(pr.pair_table(counts(spark, sf_dir))))
+    return pr.select_pairs(_with_p(spark, sf_dir))
