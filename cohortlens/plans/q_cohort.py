@@ -74,7 +74,9 @@ def window_claims(spark, sf_dir, days=L, codes=True):
     """Claims in each person's lookback window; code slots are attached
     to these claims only."""
     w = fe.lookback(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), days)
-    return driver.attach_codes(spark, sf_dir, w) if codes else w
+    # line items are narrowed by the load window's order ids (a pushed-down
+    # scan), so the lookback join itself runs once
+    return driver.attach_codes(spark, sf_dir, w, ids=cohort_claims(spark, sf_dir)) if codes else w
 
 
 def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES), pairs=tuple(PAIRS),

@@ -124,11 +124,13 @@ def order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.array_sort(F.collect_set("p_type")).alias(S.HCPCS)))
 
 
-def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame) -> DataFrame:
-    """Code-slot arrays for the given claims only: line items are first
-    semi-joined to the claim ids (a selective filter on the largest table),
-    then joined to part and grouped per order."""
-    ids = claims.select(F.col(S.CLAIM).alias("l_orderkey"))
+def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Code-slot arrays for the given claims: line items are first semi-joined
+    to the claim ids of ``ids`` (default: ``claims``; a superset such as the
+    date-filtered orders avoids evaluating ``claims`` twice), then joined to
+    part and grouped per order.  The semi-join keeps line items on the
+    streamed side, so AQE can split an order with very many lines."""
+    ids = (claims if ids is None else ids).select(F.col(S.CLAIM).alias("l_orderkey"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(ids, "l_orderkey", "left_semi")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     codes = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
