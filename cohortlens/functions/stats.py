@@ -8,13 +8,19 @@ UDFs applied to aggregated rows (one row per code or pair), never per claim.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDFs below (and the helpers they call) are shipped by value, so
+# executors need only pandas and numpy, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 INF = float("inf")
 # chi-square(1) critical value at 0.05, i.e. erfc(sqrt(x/2)) = 0.05.
 CHI2_CRIT_05 = 3.841458820694124
