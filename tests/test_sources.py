@@ -53,7 +53,7 @@ def test_load_all_no_csv(spark, tmp_path):
 
 
 def test_lookup_and_sinks(spark, tmp_path):
-    p = _write(tmp_path / "dx.tsv", "ICD9_CD\tICD9_DESC_LONG\n0389\tSepticemia NOS\n4019\tHypertension NOS\n")
+    p = _write(tmp_path / "dx.tsv", "ICD9_CD\tICD9_DESC_LONG\n0389\tInfection NOS\n4019\tHypertension NOS\n")
     lk = files.load_lookup(spark, p)
     assert lk.columns == ["code", "description"] and lk.count() == 2
     out = files.write_table(lk, str(tmp_path / "out_csv"), fmt="csv", single_file=True)
@@ -64,7 +64,7 @@ def test_lookup_and_sinks(spark, tmp_path):
 
 
 def test_fixed_width(spark, tmp_path):
-    p = _write(tmp_path / "fw.txt", "0389 Septicemia NOS   \n4019 Hypertension NOS\n")
+    p = _write(tmp_path / "fw.txt", "0389 Infection NOS    \n4019 Hypertension NOS\n")
     df = files.load_fixed_width(spark, p, [("code", 1, 4), ("description", 6, 17)])
-    assert sorted((r.code, r.description) for r in df.collect()) == [("0389", "Septicemia NOS"),
+    assert sorted((r.code, r.description) for r in df.collect()) == [("0389", "Infection NOS"),
                                                                     ("4019", "Hypertension NOS")]
