@@ -20,9 +20,28 @@ RUNTIME_CONF = {
 }
 
 
+# Sizing for ~100 TB inputs on a large cluster: 512 MB scan splits (about
+# 200k tasks per full pass), AQE starting from many shuffle partitions and
+# coalescing them toward 256 MB, skew split above 1 GB / 5x the median, and a
+# 64 MB broadcast ceiling (AQE measures the real size before broadcasting).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "cohortlens", extra: dict | None = None) -> SparkSession:
-    """Local or cluster session with the UI off and the runtime settings on."""
+                  app_name: str = "cohortlens", extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """Local or cluster session with the UI off and the runtime settings on.
+
+    ``profile="cluster"`` adds CLUSTER_CONF (and ignores ``shuffle_partitions``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -32,6 +51,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": os.environ.get("COHORTLENS_DRIVER_MEMORY", "16g"),
         **RUNTIME_CONF,
+        **(CLUSTER_CONF if profile == "cluster" else {}),
         **(extra or {}),
     }
     for k, v in conf.items():
