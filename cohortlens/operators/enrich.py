@@ -18,9 +18,10 @@ def explode_codes(window: DataFrame, codes: str = S.ICD, person: str = S.PERSON,
 
 
 def melt_slots(df: DataFrame, slot_cols, drop=("", "None"), person: str = S.PERSON,
-               label: str = S.LABEL) -> DataFrame:
-    """Slot columns to (person, class, code) rows, dropping NULL and junk."""
-    long = df.unpivot([person, label], list(slot_cols), "slot", CODE)
+               label: str = S.LABEL, ids=None) -> DataFrame:
+    """Slot columns to (ids..., code) rows, dropping NULL and junk; ids
+    default to (person, class)."""
+    long = df.unpivot(list(ids) if ids else [person, label], list(slot_cols), "slot", CODE)
     return long.filter(F.col(CODE).isNotNull() & ~F.col(CODE).isin(*drop)).drop("slot")
 
 

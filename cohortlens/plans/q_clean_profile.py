@@ -161,3 +161,41 @@ SELECT bin, any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 30 AS
 FROM b GROUP BY bin""")
 def p7_histogram(spark, sf_dir):
     return pf.histogram(driver.table(spark, sf_dir, "customer"), "c_acctbal", 30)
+
+
+def line_slots(spark, sf_dir):
+    """Order lines in the wide slot layout of a claim file: slot_i = the brand
+    on line i (the smallest one if a line number repeats)."""
+    li = driver.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    p = driver.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    wide = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
+            .pivot("l_linenumber", list(range(1, LINE_SLOTS + 1))).agg(F.min("p_brand")))
+    return wide.select("l_orderkey", *[F.col(f"`{i}`").alias(f"slot_{i}") for i in range(1, LINE_SLOTS + 1)])
+
+
+SLOTS = [f"slot_{i}" for i in range(1, LINE_SLOTS + 1)]
+SLOTS_SQL = f"""SELECT l_orderkey, l_linenumber, min(p_brand) AS b FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_linenumber BETWEEN 1 AND {LINE_SLOTS} GROUP BY 1, 2"""
+
+
+@register("R1_arrays", f"""SELECT l_orderkey,
+  list(trim(b) ORDER BY l_linenumber) FILTER (WHERE b IS NOT NULL AND trim(b) NOT IN ('', 'None')) AS codes
+FROM ({SLOTS_SQL}) s GROUP BY l_orderkey""")
+def r1_arrays(spark, sf_dir):
+    return line_slots(spark, sf_dir).select("l_orderkey", cl.code_slots(SLOTS).alias("codes"))
+
+
+@register("R3_melt", f"""SELECT l_orderkey, b AS code FROM ({SLOTS_SQL}) s
+WHERE b IS NOT NULL AND b NOT IN ('', 'None')""")
+def r3_melt(spark, sf_dir):
+    from cohortlens.operators import enrich as en
+    return en.melt_slots(line_slots(spark, sf_dir), SLOTS, ids=["l_orderkey"])
+
+
+@register("C6_codes", f"""WITH s AS ({SLOTS_SQL}), o AS (SELECT DISTINCT l_orderkey FROM s)
+SELECT o.l_orderkey, {', '.join(f"coalesce(trim(s{i}.b), '') AS slot_{i}" for i in range(1, LINE_SLOTS + 1))}
+FROM o {' '.join(f"LEFT JOIN s s{i} ON s{i}.l_orderkey = o.l_orderkey AND s{i}.l_linenumber = {i}"
+                 for i in range(1, LINE_SLOTS + 1))}""")
+def c6_codes(spark, sf_dir):
+    w = line_slots(spark, sf_dir)
+    return w.select("l_orderkey", *[cl.clean_code(c).alias(c) for c in SLOTS])

@@ -146,6 +146,11 @@ def _stats(spark, sf_dir, p_values=False):
     return en.code_statistics(table, p_values=p_values)
 
 
+@register("X1_odds", f"SELECT code, odds_ratio, pos_with_code, neg_with_code FROM ({STATS_SQL}) z")
+def x1_odds(spark, sf_dir):
+    return _stats(spark, sf_dir).select("code", "odds_ratio", "pos_with_code", "neg_with_code")
+
+
 @register("X2_code_stats", STATS_SQL)
 def x2_code_stats(spark, sf_dir):
     return _stats(spark, sf_dir)
