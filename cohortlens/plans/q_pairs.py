@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from cohortlens import schemas as S
+from cohortlens.functions.stats import LN_TOL, log_factorial_sql
 from cohortlens.operators import features as fe
 from cohortlens.operators import pairs as pr
 from cohortlens.plans import params as P
-from cohortlens import schemas as S
 from cohortlens.plans.q_cohort import dataset, features_sql
 from cohortlens.plans.registry import register
 
@@ -144,14 +147,14 @@ def x7_pair_stats(spark, sf_dir):
     return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=False)
 
 
-_LF = __import__("cohortlens.functions.stats", fromlist=["log_factorial_sql"]).log_factorial_sql
+_LF = log_factorial_sql
 FISHER_SQL = f"""WITH t AS ({TABLE_SQL}),
 f AS (SELECT code1, code2, tp, fp, fn, tn, tp + fp AS r1, tp + fn AS c1, tp + fp + fn + tn AS n FROM t),
 g AS (SELECT *, {_LF('r1')} + {_LF('n - r1')} + {_LF('c1')} + {_LF('n - c1')} - {_LF('n')} AS const FROM f),
 sup AS (SELECT g.code1, g.code2, g.tp, x.k,
           const - ({_LF('x.k')} + {_LF('r1 - x.k')} + {_LF('c1 - x.k')} + {_LF('n - r1 - c1 + x.k')}) AS logp
         FROM g, LATERAL (SELECT unnest(range(greatest(0, r1 + c1 - n), least(r1, c1) + 1)) AS k) x),
-obs AS (SELECT code1, code2, logp + 9.999999500000033e-08 AS cut FROM sup WHERE k = tp)
+obs AS (SELECT code1, code2, logp + {LN_TOL!r} AS cut FROM sup WHERE k = tp)
 SELECT s.code1, s.code2, round(least(fsum(CASE WHEN s.logp <= o.cut THEN exp(s.logp) ELSE 0.0 END), 1.0), 12)
          AS p_value
 FROM sup s JOIN obs o ON s.code1 = o.code1 AND s.code2 = o.code2
@@ -159,7 +162,6 @@ GROUP BY s.code1, s.code2"""
 
 
 def _with_p(spark, sf_dir):
-    from pyspark.sql import functions as F
     st = pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
     return st.withColumn("p_value", F.round("p_value", 12))
 
