@@ -85,3 +85,27 @@ def test_lookup_leading_zeros_collide(spark):
     agg = spark.createDataFrame([("389", 10.0), ("999", 1.0)], "primary_dx string, total_payment double")
     got = {r.primary_dx: r.description for r in db.describe(agg, lk).collect()}
     assert got == {"389": "a desc", "999": "999"}  # one row per code (K6), code fallback (J7)
+
+
+def test_pair_presence_per_person_vs_per_claim(spark):
+    """A9 needs both codes on one claim; A20 needs both on the person (trap K9)."""
+    from cohortlens.operators import pairs as pr
+    idx = spark.createDataFrame([("Q", 1, D(2009, 6, 1)), ("Z", 0, D(2009, 6, 1))],
+                                "person_id string, case_ind int, index_date date")
+    claims = _claims(spark, [("Q", "2", D(2009, 5, 20), 5.0, "carrier", ["A"], []),
+                             ("Q", "3", D(2009, 5, 21), 7.5, "carrier", ["B"], []),
+                             ("Z", "4", D(2009, 5, 21), 7.5, "carrier", ["A"], [])])
+    f = fe.engineer_features(idx, claims, None, 30, ["A", "B"], pairs=[("A", "B")])
+    assert f.filter(F.col("person_id") == "Q").first().icd9_A_and_B_30d == 0
+    t = pr.pair_table(pr.pair_counts(f, ["icd9_A_30d", "icd9_B_30d"])).first()
+    assert (t.tp, t.fp, t.fn, t.tn) == (1, 0, 0, 1)
+
+
+def test_enrichment_with_an_empty_class(spark):
+    from cohortlens.operators import enrich as en
+    long = spark.createDataFrame([("P", 0, "A"), ("Q", 0, "B")], "person_id string, case_ind int, code string")
+    means = {r.code: r for r in en.class_means(long).collect()}
+    assert means["A"].prev_pos is None and means["A"].prev_neg == 0.5  # no positives: NULL, not an error
+    window = spark.createDataFrame([("P", 0), ("Q", 0)], "person_id string, case_ind int")
+    st = {r.code: r for r in en.code_statistics(en.contingency(window, long), p_values=False).collect()}
+    assert st["A"].prevalence_positive == 0.0 and st["A"].chi2 is None
