@@ -52,8 +52,8 @@ def cases(spark, sf_dir):
     """Q4: inpatient claims of the study year with the case code in a slot
     (a semi-join against the orders having a line of that brand)."""
     from cohortlens.functions.cleaning import year_range
-    inpatient = cohort_claims(spark, sf_dir).filter((F.col(S.FILE_TYPE) == "inpatient")
-                                                    & year_range(S.DATE, P.YEAR))
+    inpatient = (driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END, types=["inpatient"])
+                 .filter(year_range(S.DATE, P.YEAR)))
     hit = inpatient.join(driver.orders_with_brand(spark, sf_dir, P.CASE_CODE), S.CLAIM, "left_semi")
     return co.latest_dates(hit)
 

@@ -79,12 +79,16 @@ def _ts(d: str | dt.date) -> F.Column:
 
 
 def claims(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None,
-           codes: bool = False, proc: bool = False) -> DataFrame:
+           codes: bool = False, proc: bool = False, types: list[str] | None = None) -> DataFrame:
     """Orders as claims, optionally restricted to service dates [start, end]
-    (inclusive, pushed to the Parquet scan on the raw timestamp column),
+    (inclusive, pushed to the Parquet scan on the raw timestamp column) and
+    to file ``types`` (pushed as a filter on the raw status column),
     optionally with the code-slot arrays (``codes``) or the claim's
     procedure code (``proc``)."""
     o = table(spark, sf_dir, "orders")
+    if types:
+        statuses = [k for k, v in STATUS_TO_TYPE.items() if v in types]
+        o = o.filter(F.col("o_orderstatus").isin(*statuses))
     if start:
         o = o.filter(F.col("o_orderdate") >= _ts(start))
     if end:

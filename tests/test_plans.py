@@ -39,6 +39,8 @@ def test_case_brand_pushed_to_part_scan(spark):
     plan = _plan(spark, "Q4_cases")
     part = [line for line in plan.splitlines() if "FileScan parquet" in line and "part.parquet" in line]
     assert part and all("EqualTo(p_brand" in s for s in part)
+    orders = [line for line in plan.splitlines() if "FileScan parquet" in line and "orders.parquet" in line]
+    assert orders and all("EqualTo(o_orderstatus" in s for s in orders)  # inpatient only, at the scan
 
 
 def test_scans_read_only_needed_columns(spark):
