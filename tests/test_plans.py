@@ -47,3 +47,9 @@ def test_scans_read_only_needed_columns(spark):
     plan = _plan(spark, "T1_top_customers")
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "o_orderpriority" not in scan.split("ReadSchema")[-1] and "o_orderstatus" not in scan.split("ReadSchema")[-1]
+
+
+def test_event_index_filter_pushed(spark):
+    plan = _plan(spark, "E_lookback")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "events.parquet" in line]
+    assert any("EqualTo(event_type,error)" in s and "GreaterThan(value,100.0)" in s for s in scans)
