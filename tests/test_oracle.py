@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 SQL = E.oracle_sql()
-FAST = [k for k in SQL if not k.startswith(("M", "Q12"))]
+ALL = list(SQL)
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, duck, name):
     from scripts.check_oracle import rows_of
     sdf = E.queries()[name](spark, SF).toPandas()
