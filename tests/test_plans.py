@@ -53,3 +53,19 @@ def test_event_index_filter_pushed(spark):
     plan = _plan(spark, "E_lookback")
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "events.parquet" in line]
     assert any("EqualTo(event_type,error)" in s and "GreaterThan(value,100.0)" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", sorted(PYTHON_OK))
+def test_python_runs_above_an_aggregate(spark, name):
+    """The pandas UDFs see aggregated rows (one per code or pair), never claims."""
+    lines = _plan(spark, name).split("== Initial Plan ==")[0].splitlines()
+    found = [i for i, line in enumerate(lines) if "ArrowEvalPython" in line]
+    assert found, name
+    for i in found:
+        depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+        below = []
+        for nxt in lines[i + 1:]:
+            if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                break
+            below.append(nxt)
+        assert any("HashAggregate" in b for b in below), name
