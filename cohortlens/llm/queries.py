@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import storage, token_files
+from cohortlens.llm import bpe_lexicon, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -17,6 +17,13 @@ def _word_bpe() -> str:
     return token_files.tokenizer_text(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register("op2_bpe_lexicon")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, model = _table(spark, sf_dir, "documents"), _word_bpe()
+    lexicon = bpe_lexicon.build_lexicon(docs, model, storage.work_folder(spark, "op2"))
+    return bpe_lexicon.encode_documents(docs, model, lexicon)
+
+
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.work_folder(spark, "op10")
