@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import bpe_lexicon, storage, token_files
+from cohortlens.llm import bpe_lexicon, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -24,6 +24,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.encode_documents(docs, model, lexicon)
 
 
+@register("op5_secret_dfa")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_dfa.secret_digests(_table(spark, sf_dir, "documents"))
+
+
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.work_folder(spark, "op10")
