@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import bpe_lexicon, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -29,6 +29,27 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_dfa.secret_digests(_table(spark, sf_dir, "documents"))
 
 
+# base32 by twenty bits (five hex digits, four characters) at a time
+_OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+             list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + CAST(((('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INT), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) AS INT), 1)),
+               'string_agg', '') AS payload_digest
+      FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM d)
+"""
+
+
+@register("op7_arc_to_warc", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = arc_warc.archive_digests(_table(spark, sf_dir, "pages"), storage.work_folder(spark, "op7"), least=0)
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.work_folder(spark, "op10")
