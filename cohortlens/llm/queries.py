@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -24,6 +24,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.encode_documents(docs, model, lexicon)
 
 
+@register("op4_fm_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @register("op5_secret_dfa")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_dfa.secret_digests(_table(spark, sf_dir, "documents"))
@@ -33,7 +38,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP7_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes,
-             list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                1 + CAST(((('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INT), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) AS INT), 1)),
                'string_agg', '') AS payload_digest
       FROM p)
