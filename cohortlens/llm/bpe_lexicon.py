@@ -66,10 +66,10 @@ class MergeTable:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank[at], len(self.keys))
 
-    def merge(self, words: list[bytes]) -> list[tuple]:
-        """Ids of words given as raw bytes (none empty)."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each) of words given as raw bytes (none empty)."""
         if not words:
-            return []
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         none = len(self.keys)
         size = np.fromiter(map(len, words), np.int64, len(words))
         sym = self.inner[np.frombuffer(b"".join(words), np.uint8)]
@@ -111,10 +111,7 @@ class MergeTable:
             touched = touched[word[touched] == word[touched + 1]]
             rank[touched] = self._ranks(sym[touched], sym[touched + 1])
         sym, word = np.concatenate(done_sym), np.concatenate(done_word)
-        order = np.argsort(word, kind="stable")
-        flat = sym[order].tolist()
-        at = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))]).tolist()
-        return [tuple(flat[at[i]:at[i + 1]]) for i in range(len(words))]
+        return sym[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
 
 def compile_automaton(entries: list[tuple[bytes, tuple]]) -> bytes:
@@ -204,8 +201,11 @@ class Automaton:
             step += 1
         return np.where((state >= 0) & (self.final[np.maximum(state, 0)] > 0), place, -1)
 
-    def ids_of(self, place: int) -> tuple:
-        return tuple(self.ids[self.ids_at[place]:self.ids_at[place + 1]].tolist())
+    def ids_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all places, number of ids of each)."""
+        size = (self.ids_at[places + 1] - self.ids_at[places]).astype(np.int64)
+        end = np.cumsum(size)
+        return self.ids[np.arange(size.sum()) + np.repeat(self.ids_at[places] - (end - size), size)], size
 
 
 class LexiconEncoder(TextEncoder):
@@ -225,16 +225,22 @@ class LexiconEncoder(TextEncoder):
 
     def encode_words(self, words):
         raw = list(map(self._raw, words))
-        place = self.lexicon.places(raw) if self.lexicon is not None else np.full(len(raw), -1)
-        unseen = np.flatnonzero(place < 0).tolist()
-        out = [self.lexicon.ids_of(p) if p >= 0 else None for p in place.tolist()]
-        for i, ids in zip(unseen, self.merges.merge([raw[i] for i in unseen])):
-            out[i] = ids
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+        if self.lexicon is None:
+            return self.merges.merge(raw)
+        place = self.lexicon.places(raw)
+        seen, unseen = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+        parts = (self.lexicon.ids_of(place[seen]), self.merges.merge([raw[i] for i in unseen.tolist()]))
+        size = np.zeros(len(raw), np.int64)
+        size[seen], size[unseen] = parts[0][1], parts[1][1]
+        end = np.cumsum(size)
+        ids = np.empty(int(size.sum()), np.int32)
+        for of, (flat, n) in zip((seen, unseen), parts):
+            ids[np.arange(len(flat)) + np.repeat((end - size)[of] - (np.cumsum(n) - n), n)] = flat
+        return ids, size
+
+    def decode(self, ids: np.ndarray) -> str:
         """The tokenizer has no decoder of its own, so tokens are joined by spaces."""
-        return " ".join(map(self.token.__getitem__, ids))
+        return " ".join(map(self.token.__getitem__, ids.tolist()))
 
 
 def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", held: int = 400_000) -> DataFrame:
@@ -243,22 +249,21 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
 
     def count(batches):
         cutter = worker_encoder(TextEncoder, model.value)
-        chunks: Counter = Counter()
+        seen: Counter = Counter()
 
         def words():
             out: Counter = Counter()
-            for c, n in chunks.items():
-                for w in cutter.cut(c):
-                    out[w] += n
-            chunks.clear()
+            for w, n in seen.items():
+                out[w[1:] if w[0] == "\0" else cutter.spell(w)] += n
+            seen.clear()
             return pa.RecordBatch.from_pydict({"word": list(out), "n": pa.array(list(out.values()), pa.int64())})
 
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
                 for t in part.column(0).to_pylist():
                     if t:
-                        chunks.update(t.split())
-                if len(chunks) > held:
+                        seen.update(cutter.cut(t))
+                if len(seen) > held:
                     yield words()
         yield words()
 
@@ -278,7 +283,8 @@ def build_lexicon(docs: DataFrame, tokenizer_json: str, folder: str, words: int
         return None
     merges = MergeTable(tokenizer_json)
     raw = [bytes(map(merges.code.__getitem__, r.word)) for r in top]
-    data = compile_automaton(list(zip(raw, merges.merge(raw))))
+    ids, size = merges.merge(raw)
+    data = compile_automaton(list(zip(raw, map(tuple, np.split(ids, np.cumsum(size)[:-1])))))
     name = f"lexicon-{folder.rpartition('/')[2]}-{hashlib.sha1(data).hexdigest()[:12]}.fsa"
     spark.sparkContext.addFile(storage.put_bytes(spark, f"{folder}/{name}", data))
     return name
@@ -296,13 +302,14 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, lexicon: str | None,
         encoder = worker_encoder(LexiconEncoder, model.value, lexicon)
         for batch in batches:
             for part in textkit.row_blocks(batch, "_text", 2 << 20):
-                ids = encoder.encode([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
-                cols = [*part.columns[:-1], pa.array(list(map(len, ids)), pa.int64()),
-                        pa.array([hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest() for x in ids]),
+                flat, at = encoder.encode([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
+                ids = np.split(flat, at[1:-1])
+                cols = [*part.columns[:-1], pa.array(np.diff(at)),
+                        pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids]),
                         pa.array([hashlib.sha256(encoder.decode(x).encode()).hexdigest() for x in ids])]
                 names = [*part.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    cols.append(pa.array(ids, pa.list_(pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 

@@ -1,25 +1,30 @@
-"""Texts to token ids through a table of the white-space chunks seen so far.
+"""Texts to token ids through a table of the normalised words seen so far.
 
-BPE never joins symbols across white space, so a text's ids are its chunks'
-ids in order.  ``encode_words`` of a subclass gives the ids of distinct
-normalised words; chunks with characters outside the plain Latin range are
-normalised and cut by the library's own steps.
+BPE never joins symbols across words, so a text's ids are its words' ids in
+order.  Texts of plain Latin letters are lower-cased and cut by one pattern;
+others go chunk by chunk through the library's own normalising and cutting
+steps.  ``encode_words`` of a subclass gives the ids of distinct words.  The
+table is emptied when it holds ``TABLE_WORDS`` words.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 from cohortlens.llm.storage import process_cache
 
 #: Here str.lower(), NFC and the letter and digit classes agree between Python and the library.
-_PLAIN = re.compile("[\x21-\x7e\xa1-įı-ſ]+").fullmatch
-_ODD_SPACE = re.compile("[\x1c-\x1f]").search
-CACHE_WORDS = 300_000
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
+#: The pre-tokenizer's pattern over that range, after lower-casing.
+_CUT = ("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u017f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+        "|[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u017f0-9\xb2\xb3\xb9\xbc-\xbe]+")
+_FIND = re.compile(_CUT).findall
+_FIXED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the tokenizer file's
+TABLE_WORDS = 500_000
 
 
 def byte_symbols() -> list[str]:
@@ -30,73 +35,72 @@ def byte_symbols() -> list[str]:
 
 
 class TextEncoder:
-    """Base: chunk table, word cutting, special tokens.  ``tokenizer_json`` is the tokenizers file's text."""
+    """Base: word table, word cutting, special tokens.  ``tokenizer_json`` is the tokenizers file's text."""
 
     def __init__(self, tokenizer_json: str):
-        import regex
         from tokenizers import Tokenizer
         spec = json.loads(tokenizer_json)
         self.library = Tokenizer.from_str(tokenizer_json)
         self.library.no_truncation()
         self.library.no_padding()
-        cut = next(s["pattern"]["Regex"] for s in spec["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split")
-        self._find = regex.compile(cut).findall
+        cut = [s["pattern"]["Regex"] for s in spec["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split"]
+        self._plain = cut == [_FIXED_PATTERN]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self._symbols = {chr(b): s for b, s in enumerate(byte_symbols())}
-        self._table = str.maketrans(self._symbols)
-        self._chunks: dict[str, tuple] = {}
-        self._words: dict[str, tuple] = {}
-
-    def encode_words(self, words: list[str]) -> list[tuple]:
-        """Ids of distinct words, each spelt in the byte-level alphabet."""
+        self._table = str.maketrans({chr(b): s for b, s in enumerate(byte_symbols())})
+        self._clear()
+
+    def _clear(self) -> None:
+        """Only the special tokens are known."""
+        self._place = {t: i for i, t in enumerate(self.special)}
+        self._size = np.ones(len(self.special), np.int64)
+        self._at = np.arange(len(self.special))
+        self._ids = np.array(list(self.special.values()), np.int32)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each) for distinct words in the byte-level alphabet."""
         raise NotImplementedError
 
     def spell(self, word: str) -> str:
         return word if word.isascii() else word.encode().decode("latin-1").translate(self._table)
 
-    def cut(self, chunk: str) -> list[str]:
-        """Words of one chunk, normalised, in the byte-level alphabet."""
-        if _PLAIN(chunk):
-            return [self.spell(w) for w in self._find(chunk.lower())]
-        text = self.library.normalizer.normalize_str(chunk)
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        parts = {c: self.cut(c) for c in chunks}
-        new = list({w for ws in parts.values() for w in ws if w not in self._words})
-        self._words.update(zip(new, self.encode_words(new)))
-        words = self._words
-        for c, ws in parts.items():
-            self._chunks[c] = words[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(words.__getitem__, ws)))
-
-    def _cut_text(self, text: str) -> list[str]:
-        """Chunks of a text; special tokens and odd separators are found first."""
+    def cut(self, text: str) -> list[str]:
+        """Normalised words of a text; words of other than plain texts come marked, in the byte-level alphabet."""
         if self._special and "<" in text and self._special.search(text):
-            out = []
-            for part in self._special.split(text):
-                if part in self.special:
-                    self._chunks[part] = (self.special[part],)
-                    out.append(part)
-                else:
-                    out += self._cut_text(part)
-            return out
-        if _ODD_SPACE(text):  # white space for str.split only
-            return re.sub(r"[^\S\x1c-\x1f]+", " ", text).strip(" ").split(" ")
-        return text.split()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
-        if len(self._chunks) > CACHE_WORDS:
-            self._chunks.clear()
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
-        cut = [self._cut_text(t) for t in texts]
-        known = self._chunks
-        new = {c for chunks in cut for c in chunks if c not in known}
-        if new:
-            self._learn(new)
-        return [list(chain.from_iterable(map(known.__getitem__, chunks))) for chunks in cut]
+            parts = self._special.split(text)
+            return list(chain.from_iterable([p] if i % 2 else self.cut(p) for i, p in enumerate(parts)))
+        if self._plain and _PLAIN(text):
+            return _FIND(text.lower())
+        out = []
+        for piece in re.findall(r"[^\t-\r ]+", text):  # bounded pieces; the library cuts at any white space
+            text = self.library.normalizer.normalize_str(piece)
+            out += ["\0" + w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        ids, size = self.encode_words([w[1:] if w[0] == "\0" else self.spell(w) for w in new])
+        self._place.update(zip(new, range(len(self._place), len(self._place) + len(new))))
+        self._at = np.concatenate([self._at, len(self._ids) + np.cumsum(size) - size])
+        self._size = np.concatenate([self._size, size])
+        self._ids = np.concatenate([self._ids, ids])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets by text)."""
+        if len(self._place) > TABLE_WORDS:
+            self._clear()
+        cut = list(map(self.cut, texts))
+        words = list(chain.from_iterable(cut))
+        place = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(place < 0).tolist()
+        if unknown:
+            self._learn(list({words[i] for i in unknown}))
+            place[unknown] = [self._place[words[i]] for i in unknown]
+        size = self._size[place]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        flat = self._ids[np.arange(total) + np.repeat(self._at[place] - (end - size), size)]
+        bounds = np.cumsum([0, *map(len, cut)])
+        return flat, np.concatenate([[0], end])[bounds]
 
 
 class LibraryEncoder(TextEncoder):
@@ -110,7 +114,8 @@ class LibraryEncoder(TextEncoder):
         self._model = Tokenizer.from_str(json.dumps(spec))
 
     def encode_words(self, words):
-        return [tuple(e.ids) for e in self._model.encode_batch_fast(words, add_special_tokens=False)]
+        got = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.array(got.ids, np.int32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))
 
 
 def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
@@ -119,7 +124,3 @@ def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
     if key not in cache:
         cache[key] = kind(tokenizer_json, *args)
     return cache[key]
-
-
-def ids_array(ids: list[int]) -> np.ndarray:
-    return np.fromiter(ids, np.uint32, len(ids))

@@ -63,17 +63,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
                         out, FILE_SCHEMA, compression="zstd", write_page_index=True, data_page_size=page_bytes,
                         use_dictionary=["ids.list.element"], dictionary_pagesize_limit=4 << 20,
                         column_encoding={c: "DELTA_BINARY_PACKED" for c in ("doc_id", "start", "n_tokens")})
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                for x in ids:
-                    x.append(end_id)
-                n = np.fromiter(map(len, ids), np.int64, len(ids))
-                at = np.concatenate([[0], np.cumsum(n)])
-                flat = np.concatenate([np.array(x, np.int32) for x in ids])
-                held.append(pa.record_batch([part.column(0), pa.array(start + at[:-1]), pa.array(n),
+                flat, at = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                flat = np.insert(flat, at[1:], end_id)
+                at = at + np.arange(len(at))
+                held.append(pa.record_batch([part.column(0), pa.array(start + at[:-1]), pa.array(np.diff(at)),
                                              pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat),
                                                                       type=FILE_SCHEMA.field("ids").type)],
                                             schema=FILE_SCHEMA))
-                start, docs_done, n_held = start + int(at[-1]), docs_done + len(ids), n_held + int(at[-1])
+                start, docs_done, n_held = start + int(at[-1]), docs_done + part.num_rows, n_held + int(at[-1])
                 if n_held >= group_tokens:
                     flush()
         if writer is not None:
