@@ -256,7 +256,7 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
             for w, n in seen.items():
                 out[w[1:] if w[0] == "\0" else cutter.spell(w)] += n
             seen.clear()
-            return pa.RecordBatch.from_pydict({"word": list(out), "n": pa.array(list(out.values()), pa.int64())})
+            return pa.RecordBatch.from_pydict({"word": pa.array(list(out), pa.string()), "n": pa.array(list(out.values()), pa.int64())})
 
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
