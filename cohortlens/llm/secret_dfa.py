@@ -397,5 +397,6 @@ def secret_digests(docs: DataFrame, rules=BASE_RULES, base: int = len(BASE_RULES
     names = [r.kind for r in rules[:base]]
     show = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     basic = F.filter("spans", lambda s: s["kind"].isin(names))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in names]
+    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [of(k) for k in names]
     return found.select("doc_id", *counts, F.sha2(show(basic), 256).alias("base_sha256"), show(F.col("spans")).alias("spans"))
