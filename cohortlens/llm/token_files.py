@@ -8,7 +8,7 @@ were committed and the ids before each, so a metadata read never touches the
 id column and a filter on ``doc_id`` skips row groups and pages.
 
 Null or empty texts give the end id alone.  Null ids sort first; equal ids
-are ordered by text; other columns are ignored.  An empty table gives no file
+are ordered by a hash of the text; other columns are ignored.  An empty table gives no file
 and empty reads.  A retried task writes another file name, and only names in
 the manifest are read.
 """
@@ -81,8 +81,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "file": [name],
                                               "n_docs": [docs_done], "file_tokens": [start]})
 
+    # the range's sample of keys goes to the driver, so a hash stands for the text
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text"))
+               .withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h")
+               .sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text"))
     manifest = ordered.mapInArrow(write, "part int, file string, n_docs long, file_tokens long")
     return storage.stage(manifest, folder, "manifest")
 
