@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, ngram_join, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -17,6 +17,11 @@ def _word_bpe() -> str:
     return token_files.tokenizer_text(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register("op1_ngram_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(_table(spark, sf_dir, "documents"), storage.work_folder(spark, "op1"), k=4, percent=85)
+
+
 @register("op2_bpe_lexicon")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, model = _table(spark, sf_dir, "documents"), _word_bpe()
