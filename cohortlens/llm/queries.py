@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, ngram_join, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -29,6 +29,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.encode_documents(docs, model, lexicon)
 
 
+@register("op3_pivot_index")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_duplicates(_table(spark, sf_dir, "embeddings"), storage.work_folder(spark, "op3"), threshold=0.98)
+
+
 @register("op4_fm_quality")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
