@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -65,6 +65,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op9_cgk_decontam")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cgk_decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.work_folder(spark, "op10")
