@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm import textkit
+from cohortlens.llm import storage, textkit
 
 TRAIN_ROWS = 12_000
 WORD_SLOTS = 1 << 15
@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
              .groupBy(id_col).agg(F.max(label_col).alias("_y")))
     # labels without a document don't count towards the bound
     known = label.join(docs.select(id_col).where(F.col(id_col).isNotNull()).distinct(), id_col)
-    pick = known.orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    pick = storage.bounded_sample(known, id_col, rows)
     # at most `rows` (id, label) pairs: a bounded broadcast
     sample = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(pick), id_col).select(id_col, "_y", "_text")
 

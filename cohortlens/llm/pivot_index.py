@@ -61,7 +61,7 @@ def _classes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> D
 
 def _pivots(classes: DataFrame, pivots: int) -> dict[int, np.ndarray]:
     """Pivot directions by vector length: those with the smallest hashes, at most ``pivots`` rows."""
-    pick = classes.orderBy(F.xxhash64("vec"), "rep").limit(pivots).select("vec").collect()
+    pick = storage.bounded_sample(classes, "rep", pivots).select("vec").collect()
     by: dict[int, list] = {}
     for r in pick:
         by.setdefault(len(r.vec), []).append(r.vec)
