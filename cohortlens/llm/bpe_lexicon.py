@@ -273,17 +273,24 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
 
 def build_lexicon(docs: DataFrame, tokenizer_json: str, folder: str, words: int = LEXICON_WORDS,
                   text_col: str = "text") -> str | None:
-    """Compile the ``words`` most frequent words of the corpus and hand the file to all executors; returns its name.
+    """Compile the most frequent words of the corpus, at most ``words``, and hand the file to all executors; returns its name.
 
-    The driver sees at most ``words`` (word, count) rows."""
+    A histogram of counts (a few hundred rows) gives the count from which on words are taken, so tasks send the
+    driver those words only."""
     spark = docs.sparkSession
-    top = (word_counts(docs, tokenizer_json, text_col).where(F.length("word") <= 64)
-           .orderBy(F.desc("n"), "word").limit(words).collect())
+    counts = storage.stage(word_counts(docs, tokenizer_json, text_col), folder, "word_counts")
+    step = F.floor(F.log("n") * 32).alias("step")
+    room, least = words, None
+    for r in sorted(counts.groupBy(step).agg(F.count(F.lit(1)).alias("m")).collect(), key=lambda r: -r.step):
+        if r.m > room:
+            break
+        room, least = room - r.m, r.step
+    top = counts.where(step >= least).collect() if least is not None else []
     if not top:
         return None
     merges = MergeTable(tokenizer_json)
     raw = [bytes(map(merges.code.__getitem__, r.word)) for r in top]
-    ids, size = merges.merge(raw)
+    ids, size = merges.merge(raw)  # the order of words does not matter to the automaton
     data = compile_automaton(list(zip(raw, map(tuple, np.split(ids, np.cumsum(size)[:-1])))))
     name = f"lexicon-{folder.rpartition('/')[2]}-{hashlib.sha1(data).hexdigest()[:12]}.fsa"
     spark.sparkContext.addFile(storage.put_bytes(spark, f"{folder}/{name}", data))
