@@ -285,7 +285,7 @@ def build_lexicon(docs: DataFrame, tokenizer_json: str, folder: str, words: int
         if r.m > room:
             break
         room, least = room - r.m, r.step
-    top = counts.where(step >= least).collect() if least is not None else []
+    top = counts.where((step >= least) & (F.length("word") <= 64)).collect() if least is not None else []
     if not top:
         return None
     merges = MergeTable(tokenizer_json)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -44,6 +44,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_dfa.secret_digests(_table(spark, sf_dir, "documents"))
 
 
+@register("op6_cross_entropy")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy.cross_entropy_difference(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "conversations"),
+                                                  storage.work_folder(spark, "op6"))
+
+
 # base32 by twenty bits (five hex digits, four characters) at a time
 _OP7_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
