@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, quote_links, secret_dfa, storage, token_files
 from cohortlens.llm.registry import register
 
 
@@ -71,6 +71,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# What linking must find: every turn replies to the one before it, and its own text is left.
+_OP8_SQL = """
+SELECT c.conv_id, c.turn, c.role, trim(c.text, chr(10)) AS body,
+       CAST((p.turn IS NOT NULL)::INT + (pp.turn IS NOT NULL AND p.turn IS NOT NULL)::INT AS INT) AS n_quotes,
+       CAST((p.turn IS NOT NULL)::INT + (pp.turn IS NOT NULL AND p.turn IS NOT NULL)::INT AS INT) AS max_level,
+       p.conv_id AS reply_conv, p.turn AS reply_turn,
+       row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS position
+FROM conversations c
+LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1
+LEFT JOIN conversations pp ON pp.conv_id = c.conv_id AND pp.turn = c.turn - 2
+"""
+
+
+@register("op8_quote_links", _OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = quote_links.as_mail(_table(spark, sf_dir, "conversations"))
+    return quote_links.link_quotes(mail, storage.work_folder(spark, "op8"))
+
+
 @register("op9_cgk_decontam")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk_decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
