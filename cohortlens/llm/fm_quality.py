@@ -228,6 +228,20 @@ def score(docs: DataFrame, model: FactorisationMachine, text_col: str = "text")
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
 
 
+def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with the same columns."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.b, model.w, model.v))
+    where = docs.columns.index(text_col)
+
+    def run(batches):
+        m = FactorisationMachine(*shared.value)
+        for batch in batches:
+            for part in textkit.row_blocks(batch, text_col, 2 << 20):
+                yield part.filter(pa.array(m.score(*features(*textkit.utf8_buffers(part.column(where)))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels))
