@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import storage
 
-_MARK = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+def _mark(e: DataFrame):
+    """A fingerprint of an edge table: unchanged when a round changed nothing."""
+    return e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
                       folder, f"{name}_0")
     mark, step = None, 0
     while True:
-        now = e.agg(*_MARK).first()
+        now = _mark(e)
         if now == mark or not now["n"]:
             break
         mark, step = now, step + 1
