@@ -1,8 +1,8 @@
 """Statistics as Column expressions over aggregated count tables.
 
-Everything except two p-values is a JVM-side expression.  The p-values
-need erfc and log-gamma, which Spark SQL lacks; they are vectorised pandas
-UDFs applied to aggregated rows (one row per code or pair), never per claim.
+Everything except the Fisher p-value is a JVM-side expression.  That one
+sums tails of unknown length; it is a pandas UDF applied to aggregated rows
+(one row per pair), never per claim.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 import sys
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -56,10 +55,22 @@ def yates_chi2(a, b, c, d) -> Column:
     return F.when((r1 > 0) & (r2 > 0) & (c1 > 0) & (c2 > 0), stat)
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_pvalue(chi2: pd.Series) -> pd.Series:
-    """Upper tail of chi-square(1): erfc(sqrt(x / 2)); accurate for tiny p."""
-    return chi2.map(lambda x: math.erfc(math.sqrt(x / 2.0)) if x is not None and x == x else None)
+def chi2_pvalue(chi2) -> Column:
+    """Upper tail of chi-square(1): erfc(z) with z = sqrt(x / 2), as a Column.
+
+    For z < 2.5 one minus the all-positive series
+    2 z / sqrt(pi) exp(-z^2) sum (2 z^2)^n / (1 3 5 ... (2n + 1)); above it the
+    continued fraction exp(-z^2) / (z sqrt(pi)) / (1 + q / (1 + 2 q / (1 + ...))), q = 1 / (2 z^2)."""
+    z2 = _d(chi2) / 2.0
+    z = F.sqrt(z2)
+    term = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(80)), term, lambda a, n: F.struct(
+        (a["t"] * (2.0 * z2) / (2.0 * n + 1.0)).alias("t"), (a["s"] + a["t"] * (2.0 * z2) / (2.0 * n + 1.0)).alias("s")),
+        lambda a: a["s"])
+    tail = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), F.lit(1.0), lambda a, n: 1.0 + n / (2.0 * z2) / a)
+    root_pi = math.sqrt(math.pi)
+    return (F.when(z2 <= 0, F.lit(1.0)).when(z < 2.5, 1.0 - 2.0 * z / root_pi * F.exp(-z2) * series)
+            .otherwise(F.exp(-z2) / (z * root_pi) / tail))
 
 
 HALF_LN_2PI = 0.9189385332046728  # ln(2 pi) / 2
@@ -85,26 +96,71 @@ def log_factorial_sql(n: str) -> str:
             f"- 1.0 / (1680.0 * ({z} * {z} * {z} * {z} * {z} * {z} * {z}))) END)")
 
 
-def _fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
-    """Two-sided Fisher exact p: sum of hypergeometric probabilities of all
-    tables with the same margins that are not more likely than the observed
-    one (relative tolerance 1e-7)."""
+def _ln_fisher(a: int, b: int, c: int, d: int) -> float:
+    """ln of the two-sided Fisher exact p: the hypergeometric probabilities of
+    all tables with the same margins that are not more likely than the
+    observed one (relative tolerance 1e-7).
+
+    The probabilities rise to the mode and fall after it, so the tables
+    counted are two tails.  Each is summed outward by the ratio of neighbours
+    until a term no longer changes the sum: the work follows the spread of
+    the distribution, not the size of the margins."""
     r1, c1, n = a + b, a + c, a + b + c + d
     lo, hi = max(0, r1 + c1 - n), min(r1, c1)
     lf = log_factorial
     const = lf(r1) + lf(n - r1) + lf(c1) + lf(n - c1) - lf(n)
-    logp = [const - (lf(k) + lf(r1 - k) + lf(c1 - k) + lf(n - r1 - c1 + k)) for k in range(lo, hi + 1)]
-    obs = logp[a - lo]
-    cut = obs + LN_TOL  # probability <= observed * (1 + 1e-7)
-    p = math.fsum(math.exp(v) for v in logp if v <= cut)  # exactly rounded sum
-    return min(p, 1.0)
+
+    def logp(k):
+        return const - (lf(k) + lf(r1 - k) + lf(c1 - k) + lf(n - r1 - c1 + k))
+
+    def outward(k, step):
+        """Sum of the probabilities from k on, as a multiple of that of k."""
+        total = term = 1.0
+        while lo <= k + step <= hi:
+            up = (r1 - k) * (c1 - k) / ((k + 1.0) * (n - r1 - c1 + k + 1.0)) if step > 0 else \
+                k * (n - r1 - c1 + k + 0.0) / ((r1 - k + 1.0) * (c1 - k + 1.0))
+            term *= up
+            if total + term == total:
+                break
+            total += term
+            k += step
+        return total
+
+    obs = logp(a)
+    cut = obs + LN_TOL
+    mode = min(max((r1 + 1) * (c1 + 1) // (n + 2), lo), hi)
+    if logp(mode) <= cut:
+        return 0.0
+    own = -1 if a < mode else 1
+    # the first table beyond the mode, on the other side, that is not more likely
+    near, far = mode, (hi if own < 0 else lo)
+    if logp(far) > cut:
+        other = None
+    else:
+        while abs(far - near) > 1:
+            mid = (near + far) // 2
+            near, far = (near, mid) if logp(mid) <= cut else (mid, far)
+        other = far
+    total = outward(a, own)
+    # tables between the observed one and the mode may tie with it
+    k = a - own
+    while k != mode and logp(k) <= cut:
+        total += math.exp(logp(k) - obs)
+        k -= own
+    if other is not None:
+        total += math.exp(logp(other) - obs) * outward(other, -own)
+    return min(obs + math.log(total), 0.0)
 
 
 @F.pandas_udf(T.DoubleType())
-def fisher_pvalue(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+def fisher_ln_pvalue(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    """ln p of X8 over rows of 2x2 counts [[a, b], [c, d]]."""
+    return pd.Series([_ln_fisher(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)], dtype="float64")
+
+
+def fisher_pvalue(a, b, c, d) -> Column:
     """X8 over rows of 2x2 counts [[a, b], [c, d]]."""
-    return pd.Series([_fisher_two_sided(int(w), int(x), int(y), int(z))
-                      for w, x, y, z in zip(a, b, c, d)], dtype="float64")
+    return F.exp(fisher_ln_pvalue(a, b, c, d))
 
 
 def phi(n, n1, n2, n11) -> Column:

@@ -54,7 +54,7 @@ def top_codes(claims: DataFrame, lookup: DataFrame, k: int = 10, dx: str = S.DX)
 
 
 def period_spine(spark: SparkSession, period: str, year: int,
-                 types: Sequence[str] = tuple(S.CLAIM_TYPES), max_week: int = 52) -> DataFrame:
+                 types: Sequence[str] = tuple(S.CLAIM_TYPES), max_week: int = 53) -> DataFrame:
     """Every (week 1..max_week | month of ``year``) x file type.
 
     Built with generators (range + explode), not a cross join; its size is
@@ -67,11 +67,12 @@ def period_spine(spark: SparkSession, period: str, year: int,
 
 
 def period_series(claims: DataFrame, period: str = "week", year: int = 2009,
-                  types: Sequence[str] = tuple(S.CLAIM_TYPES), max_week: int = 52,
+                  types: Sequence[str] = tuple(S.CLAIM_TYPES), max_week: int = 53,
                   date: str = S.DATE, amount: str = S.AMOUNT) -> DataFrame:
     """A4 + J8: payment per (ISO week | yyyy-MM month, file type), zero-filled
-    over the spine.  With the default 52-week spine, ISO week 53 payments are
-    not shown (trap K5); pass ``max_week=53`` to keep them."""
+    over the spine.  The spine has all 53 ISO weeks a calendar year's dates can
+    fall in, so no payment is lost; ``max_week=52`` gives the shorter series
+    that leaves week 53 out (trap K5)."""
     key = F.weekofyear(date) if period == "week" else F.date_format(date, "yyyy-MM")
     col = "week" if period == "week" else "month"
     agg = (claims.filter(F.col(S.FILE_TYPE).isNotNull())

@@ -41,7 +41,7 @@ def cumulative_before(ds: DataFrame, order_col: str, cols: Sequence[str], slices
     parameter) whose prefix sums are joined back by slice id.
     """
     spark = ds.sparkSession
-    checkpoint_dir(spark, fallback="local-temp")
+    checkpoint_dir(spark)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (ds.repartitionByRange(n, order_col)
               .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True))
@@ -77,8 +77,8 @@ def roc_curve(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataFram
     fp = n_tot - F.col("before_n_neg")
     pts = ds.select(F.col(SCORE).cast("double").alias("threshold"),
                     F.try_divide(fp, n_tot).alias("fpr"), F.try_divide(tp, p_tot).alias("tpr"))
-    start = ds.limit(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
-                               F.lit(0.0).alias("tpr"))
+    start = ds.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
+                                            F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
 
 

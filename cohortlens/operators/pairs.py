@@ -1,10 +1,9 @@
 """Code-pair screening over person-level flag columns (A19, A20, J11, R4, R5,
 U3, X5-X9; Q11).
 
-Pairs are pairs of flag *columns* (a parameter list, column-position order),
-never pairs of rows: one grouped aggregate per class sums each flag and each
-flag product, so the work is one pass over the people with partial
-aggregation, and no person's rows are ever paired up.
+Pairs are pairs of flag *columns* (a parameter list, column-position order)
+that occur together on some person; they are formed within each person's set
+of present flags and counted with partial aggregation.
 """
 
 from __future__ import annotations
@@ -21,47 +20,36 @@ PAIR_KEYS = ["code1", "code2", "pos1", "pos2"]
 
 
 def pair_counts(df: DataFrame, flags: Sequence[str], label: str = S.LABEL) -> DataFrame:
-    """J11 + A19 + A20 counts: one row per unordered pair (i < j) with, per
-    class, the people (n), people with each flag (n1, n2) and with both (n11).
-
-    Per person the flags form one array and the pair products one array
-    (a single ``transform`` over literal index arrays, so the plan size does
-    not grow with the number of pairs); ``Summarizer.sum`` adds them up per
-    class with a partial (map-side) phase.  Only the per-class sums, two
-    vectors per class, reach the reshape into pair rows.
-    """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
+    """J11 + A19 + A20 counts: one row per unordered pair of flags (i < j) that
+    some person has both of, with, per class, the people (n), people with
+    each flag (n1, n2) and with both (n11).
 
+    Pairs are formed within each person's own set of present flags, so work
+    and output follow what occurs together, not the number of flags squared;
+    counts are partial sums before each shuffle.
+    """
     flags = list(flags)
-    pairs = [(i, j) for i in range(len(flags)) for j in range(i + 1, len(flags))]
-    if not pairs:
+    if len(flags) < 2:
         raise ValueError("need at least two flag columns")
-    ii = F.expr("array(" + ",".join(str(i) for i, _ in pairs) + ")")
-    jj = F.expr("array(" + ",".join(str(j) for _, j in pairs) + ")")
-    v = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in flags])
-    prods = F.transform(F.sequence(F.lit(0), F.lit(len(pairs) - 1)),
-                        lambda k: F.get(F.col("_v"), F.get(ii, k)) * F.get(F.col("_v"), F.get(jj, k)))
-    per_person = df.select(F.col(label), v.alias("_v")).select(
-        label, array_to_vector("_v").alias("_sv"), array_to_vector(prods).alias("_pv"))
-    per_class = per_person.groupBy(label).agg(
-        F.count("*").alias("n"), vector_to_array(Summarizer.sum(F.col("_sv"))).alias("_s"),
-        vector_to_array(Summarizer.sum(F.col("_pv"))).alias("_p"))
-    names = F.expr("array(" + ",".join("'" + c.replace("'", "''") + "'" for c in flags) + ")")
-    long = per_class.select(label, "n", "_s", F.posexplode("_p").alias("k", "_n11")).select(
-        label, "n",
-        F.get(names, F.get(ii, F.col("k"))).alias("code1"), F.get(names, F.get(jj, F.col("k"))).alias("code2"),
-        F.get(ii, F.col("k")).alias("pos1"), F.get(jj, F.col("k")).alias("pos2"),
-        F.get(F.col("_s"), F.get(ii, F.col("k"))).alias("n1"),
-        F.get(F.col("_s"), F.get(jj, F.col("k"))).alias("n2"), F.col("_n11").alias("n11"))
-
-    def by(cls, c):
-        return F.coalesce(F.sum(F.when(F.col(label) == cls, F.col(c))), F.lit(0)).cast("long")
-
-    return long.groupBy(*PAIR_KEYS).agg(
-        by(1, "n").alias("n_pos"), by(1, "n1").alias("n1_pos"), by(1, "n2").alias("n2_pos"),
-        by(1, "n11").alias("n11_pos"), by(0, "n").alias("n_neg"), by(0, "n1").alias("n1_neg"),
-        by(0, "n2").alias("n2_neg"), by(0, "n11").alias("n11_neg"))
+
+    def classes(prefix):
+        return [F.count(F.when(F.col(label) == cls, True)).alias(f"{prefix}_{name}") for cls, name in ((1, "pos"), (0, "neg"))]
+
+    present = F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(i)) for i, c in enumerate(flags)]), lambda x: x.isNotNull())
+    people = df.select(label, present.alias("_has"))
+    pairs = F.flatten(F.transform("_has", lambda x: F.transform(
+        F.filter("_has", lambda y: y > x), lambda y: F.struct(x.alias("pos1"), y.alias("pos2")))))
+    both = (people.select(label, F.explode(pairs).alias("p")).select(label, "p.pos1", "p.pos2")
+            .groupBy("pos1", "pos2").agg(*classes("n11")))
+    single = people.select(label, F.explode("_has").alias("pos")).groupBy("pos").agg(*classes("n"))
+    totals = df.agg(F.struct(*classes("n")).alias("t")).scalar()
+    names = F.array(*[F.lit(c) for c in flags])
+    side = lambda i: single.select(F.col("pos").alias(f"pos{i}"), F.col("n_pos").alias(f"n{i}_pos"),
+                                   F.col("n_neg").alias(f"n{i}_neg"))
+    return (both.join(side(1), "pos1").join(side(2), "pos2")
+            .select(F.get(names, F.col("pos1")).alias("code1"), F.get(names, F.col("pos2")).alias("code2"), "pos1", "pos2",
+                    totals.getField("n_pos").alias("n_pos"), "n1_pos", "n2_pos", "n11_pos",
+                    totals.getField("n_neg").alias("n_neg"), "n1_neg", "n2_neg", "n11_neg"))
 
 
 def cooccurrence(counts: DataFrame) -> DataFrame:
@@ -88,7 +76,7 @@ def lower_triangle(counts: DataFrame) -> DataFrame:
 def mutual_information(counts: DataFrame) -> DataFrame:
     """X6 between two codes in the positive class."""
     mi = st.mutual_info("n_pos", "n1_pos", "n2_pos", "n11_pos")
-    return counts.select(*PAIR_KEYS, F.round(mi, 10).alias("mutual_info"))
+    return counts.select(*PAIR_KEYS, mi.alias("mutual_info"))
 
 
 def _top(df: DataFrame, metric: str, k: int) -> DataFrame:
@@ -131,14 +119,17 @@ def pair_statistics(table: DataFrame, p_values: bool = True) -> DataFrame:
     out = table.select("code1", "code2", "tp", "fp", "fn", "tn",
                        ppv.alias("PPV"), ppos.alias("prevalence_pos"), pneg.alias("prevalence_neg"),
                        (ppos - pneg).alias("prevalence_diff"), orv.alias("odds_ratio"),
-                       F.round(mi, 10).alias("mutual_info"))
+                       mi.alias("mutual_info"))
     if p_values:
-        out = out.withColumn("p_value", st.fisher_pvalue("tp", "fp", "fn", "tn"))
+        out = out.withColumn("ln_p", st.fisher_ln_pvalue("tp", "fp", "fn", "tn")).withColumn("p_value", F.exp("ln_p"))
     return out
 
 
 def select_pairs(stats: DataFrame, k: int = 20) -> DataFrame:
-    """(p < 0.05, PPV >= 0.5, OR > 2) union the k smallest p, distinct."""
-    good = stats.filter((F.col("p_value") < 0.05) & (F.col("PPV") >= 0.5) & (F.col("odds_ratio") > 2))
-    best = stats.orderBy(F.asc("p_value"), "code1", "code2").limit(k)
-    return good.unionByName(best).distinct()
+    """(p < 0.05, PPV >= 0.5, OR > 2) union the k smallest p, distinct.
+
+    Ranked by ln p, so pairs whose p underflows keep their order.  The k
+    smallest are found by one top-k, whose keys mark the rows to keep."""
+    best = stats.orderBy(F.asc("ln_p"), "code1", "code2").limit(k).select("code1", "code2", F.lit(True).alias("_best"))
+    good = (F.col("p_value") < 0.05) & (F.col("PPV") >= 0.5) & (F.col("odds_ratio") > 2)
+    return stats.join(best, ["code1", "code2"], "left").where(F.col("_best") | good).drop("_best", "ln_p")

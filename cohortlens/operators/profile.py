@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.operators.evaluate import cumulative_before
+
 
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """Per column the NULL count and percent (2 decimals); with
@@ -27,32 +29,44 @@ def counts(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sum(label).cast("long").alias("positives"))
 
 
-def numeric_summary(df: DataFrame, col: str, digits: int = 6, approx: bool = False,
+def numeric_summary(df: DataFrame, col: str, digits: int | None = None, approx: bool = False,
                     accuracy: int = 1_000_000) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max.  Mean from an exact
-    decimal sum; spread statistics rounded to ``digits``.
+    decimal sum; spread statistics rounded to ``digits`` on request.
 
-    Exact quartiles (linear interpolation) keep one counter per distinct
-    value in the final task, which is bounded only when the value domain is
-    (money with two decimals in a fixed range is); ``approx=True`` uses a
-    bounded-memory quantile sketch with relative rank error 1/accuracy."""
+    Exact quartiles (linear interpolation) come from running counts over the
+    distinct values in range-partitioned slices, so no task holds all values;
+    ``approx=True`` uses a bounded-memory quantile sketch with relative rank
+    error 1/accuracy."""
     x = F.col(col)
+    shown = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     if approx:
         qs = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        return df.agg(
-            F.count(x).alias("count"),
-            (F.sum(x.cast("decimal(18,2)")).cast("double") / F.count(x)).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"),
-            qs[0].alias("q25"), qs[1].alias("q50"), qs[2].alias("q75"), F.max(x).alias("max"))
+        quartiles = [qs[i] for i in range(3)]
+    else:
+        per_value = df.where(x.isNotNull()).groupBy(x.cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+        q = _order_statistics(cumulative_before(per_value, "v", ["c"]), (0.25, 0.5, 0.75)).scalar()
+        quartiles = [shown(q[i]) for i in range(3)]
     return df.agg(
         F.count(x).alias("count"),
         (F.sum(x.cast("decimal(18,2)")).cast("double") / F.count(x)).alias("mean"),
-        F.round(F.stddev_samp(x), digits).alias("std"),
-        F.min(x).alias("min"),
-        F.round(F.percentile(x, 0.25), digits).alias("q25"),
-        F.round(F.percentile(x, 0.5), digits).alias("q50"),
-        F.round(F.percentile(x, 0.75), digits).alias("q75"),
-        F.max(x).alias("max"))
+        shown(F.stddev_samp(x)).alias("std"), F.min(x).alias("min"),
+        *[v.alias(n) for v, n in zip(quartiles, ("q25", "q50", "q75"))], F.max(x).alias("max"))
+
+
+def _order_statistics(cum: DataFrame, qs: tuple) -> DataFrame:
+    """Interpolated quantiles from (v, c, before_c): an array, one row."""
+    n = cum.agg(F.sum("c")).scalar()
+
+    def at(rank):  # the value whose run of equal rows holds the rank
+        return F.max(F.when((F.col("before_c") <= rank) & (rank < F.col("before_c") + F.col("c")), F.col("v")))
+
+    out = []
+    for q in qs:
+        pos = (n - 1) * F.lit(q)
+        lo, hi = at(F.floor(pos)), at(F.ceil(pos))
+        out.append(lo + (hi - lo) * F.any_value(pos - F.floor(pos)))
+    return cum.agg(F.array(*out).alias("q"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

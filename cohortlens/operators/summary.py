@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from cohortlens import schemas as S
 from cohortlens.functions.cleaning import money_sum, year_range
 
-# Row bound under which a key list produced by a top-N is broadcast; the
-# list has exactly n rows, so n itself is the proven size bound.
-BROADCAST_ROWS = 2_000_000
-
 # Per-type column roles of the claim files (fixed values of the file layout).
 FILE_LAYOUT = {
     "inpatient": {"amount": "CLM_PMT_AMT", "dx": "ICD9_DGNS_CD_1", "proc": "CLM_DRG_CD"},
@@ -67,7 +63,7 @@ def person_totals(claims: DataFrame, person: str = S.PERSON, amount: str = S.AMO
     claims sends one row per task, not one per claim.
     """
     return (claims.filter(F.col(person).isNotNull())
-            .groupBy(person).agg(money_sum(amount).alias(total)))
+            .groupBy(person).agg(F.coalesce(money_sum(amount), F.lit(0.0)).alias(total)))
 
 
 def top_n(df: DataFrame, n: int, metric: str, key: str, descending: bool = True) -> DataFrame:
@@ -85,21 +81,16 @@ def top_persons(claims: DataFrame, n: int = 100, person: str = S.PERSON, amount:
     return top_n(person_totals(claims, person, amount), n, "total_payment", person)
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, key: str, n_bound: int | None = None) -> DataFrame:
-    """Semi-join against a key list.  The list is broadcast only when its
-    row count is bounded (``n_bound``) below BROADCAST_ROWS; otherwise the
-    planner picks the join with measured sizes (AQE)."""
-    k = keys.select(key)
-    if n_bound is not None and n_bound <= BROADCAST_ROWS:
-        k = F.broadcast(k)
-    return df.join(k, key, "left_semi")
+def keep_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Semi-join against a key list; the planner picks the join by the
+    list's measured size (AQE)."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
 
 
-def merge_claims(claims: DataFrame, top: DataFrame, n_bound: int | None = None,
-                 person: str = S.PERSON) -> DataFrame:
+def merge_claims(claims: DataFrame, top: DataFrame, person: str = S.PERSON) -> DataFrame:
     """Claims of the selected people in the merged layout."""
     cols = [S.PERSON, S.CLAIM, S.DATE, S.AMOUNT, S.DX, S.PROC, S.FILE_TYPE]
-    return keep_keys(claims, top, person, n_bound).select(*cols)
+    return keep_keys(claims, top, person).select(*cols)
 
 
 def summary_pipeline(claims: DataFrame, year: int, n: int = 100, output_path: str | None = None,
@@ -108,7 +99,7 @@ def summary_pipeline(claims: DataFrame, year: int, n: int = 100, output_path: st
     from cohortlens.sources.files import write_table
 
     in_year = claims.filter(year_range(S.DATE, year))
-    merged = merge_claims(in_year, top_persons(in_year, n), n_bound=n)
+    merged = merge_claims(in_year, top_persons(in_year, n))
     if output_path:
         write_table(merged, output_path, fmt=fmt)
     return merged

@@ -86,19 +86,32 @@ def c11_recode(spark, sf_dir):
     return out.withColumn("flag_count", cl.row_sum([f"seg_{s}" for s in SEGMENTS], "int"))
 
 
-LINE_SLOTS = 7
+def numbered_lines(spark, sf_dir):
+    """Order lines with their slot: the place within the order by line number, then part and price (line numbers
+    repeat, so they are not slots themselves)."""
+    from pyspark.sql import Window
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
+    return (driver.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+            .withColumn("slot", F.row_number().over(order)))
 
 
-@register("C13_line_sum", f"""SELECT l_orderkey, CAST(sum(CASE WHEN l_linenumber BETWEEN 1 AND {LINE_SLOTS}
-  THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS claim_amt
+def slot_count(spark, sf_dir) -> int:
+    """Slots of the wide layout: the most lines of any order."""
+    sizes = driver.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 1
+
+
+NUMBERED_SQL = """SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
+  ORDER BY l_linenumber, l_partkey, l_extendedprice) AS INTEGER) AS slot FROM lineitem"""
+
+
+@register("C13_line_sum", """SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS claim_amt
 FROM lineitem GROUP BY l_orderkey""")
 def c13_line_sum(spark, sf_dir):
-    """Order lines pivoted to the carrier's wide line-amount slots, then the
-    row-wise sum with NULL slots as 0."""
-    li = driver.table(spark, sf_dir, "lineitem")
-    wide = (li.groupBy("l_orderkey").pivot("l_linenumber", list(range(1, LINE_SLOTS + 1)))
-            .agg(F.sum(cl.money("l_extendedprice"))))
-    slots = [str(i) for i in range(1, LINE_SLOTS + 1)]
+    """Order lines pivoted to the carrier's wide line-amount slots, one a line, then the row-wise sum with NULL
+    slots as 0."""
+    slots = list(range(1, slot_count(spark, sf_dir) + 1))
+    wide = (numbered_lines(spark, sf_dir).groupBy("l_orderkey").pivot("slot", slots).agg(F.sum(cl.money("l_extendedprice"))))
     return wide.select("l_orderkey", cl.row_sum([F.col(f"`{x}`") for x in slots], "decimal(28,2)").cast("double").alias(S.AMOUNT))
 
 
@@ -133,7 +146,7 @@ def p2_counts(spark, sf_dir):
   round(quantile_cont(c_acctbal, 0.25), 6) AS q25, round(quantile_cont(c_acctbal, 0.5), 6) AS q50,
   round(quantile_cont(c_acctbal, 0.75), 6) AS q75, max(c_acctbal) AS max FROM customer""")
 def p3_summary(spark, sf_dir):
-    return pf.numeric_summary(driver.table(spark, sf_dir, "customer"), "c_acctbal")
+    return pf.numeric_summary(driver.table(spark, sf_dir, "customer"), "c_acctbal", digits=6)
 
 
 @register("P4_values", """SELECT c_mktsegment, count(*) AS count FROM customer
@@ -142,7 +155,11 @@ def p4_values(spark, sf_dir):
     return pf.value_counts(driver.table(spark, sf_dir, "customer"), "c_mktsegment")
 
 
-@register("P5_schema", None)
+_CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
+
+
+@register("P5_schema", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null FROM customer" for c, t in _CUSTOMER.items()))
 def p5_schema(spark, sf_dir):
     return pf.non_null_schema(driver.table(spark, sf_dir, "customer"))
 
@@ -164,38 +181,41 @@ def p7_histogram(spark, sf_dir):
 
 
 def line_slots(spark, sf_dir):
-    """Order lines in the wide slot layout of a claim file: slot_i = the brand
-    on line i (the smallest one if a line number repeats)."""
-    li = driver.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    """Order lines in the wide slot layout of a claim file: (frame, slot columns), slot_i = the brand of the order's
+    i-th line."""
+    slots = list(range(1, slot_count(spark, sf_dir) + 1))
     p = driver.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    wide = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
-            .pivot("l_linenumber", list(range(1, LINE_SLOTS + 1))).agg(F.min("p_brand")))
-    return wide.select("l_orderkey", *[F.col(f"`{i}`").alias(f"slot_{i}") for i in range(1, LINE_SLOTS + 1)])
+    li = numbered_lines(spark, sf_dir)
+    wide = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey").pivot("slot", slots).agg(F.min("p_brand")))
+    return (wide.select("l_orderkey", *[F.col(f"`{i}`").alias(f"slot_{i}") for i in slots]), [f"slot_{i}" for i in slots])
 
 
-SLOTS = [f"slot_{i}" for i in range(1, LINE_SLOTS + 1)]
-SLOTS_SQL = f"""SELECT l_orderkey, l_linenumber, min(p_brand) AS b FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE l_linenumber BETWEEN 1 AND {LINE_SLOTS} GROUP BY 1, 2"""
+SLOTS_SQL = f"""SELECT l_orderkey, slot, p_brand AS b FROM ({NUMBERED_SQL}) n JOIN part ON l_partkey = p_partkey"""
 
 
 @register("R1_arrays", f"""SELECT l_orderkey,
-  list(trim(b) ORDER BY l_linenumber) FILTER (WHERE b IS NOT NULL AND trim(b) NOT IN ('', 'None')) AS codes
+  list(trim(b) ORDER BY slot) FILTER (WHERE b IS NOT NULL AND trim(b) NOT IN ('', 'None')) AS codes
 FROM ({SLOTS_SQL}) s GROUP BY l_orderkey""")
 def r1_arrays(spark, sf_dir):
-    return line_slots(spark, sf_dir).select("l_orderkey", cl.code_slots(SLOTS).alias("codes"))
+    wide, slots = line_slots(spark, sf_dir)
+    return wide.select("l_orderkey", cl.code_slots(slots).alias("codes"))
 
 
 @register("R3_melt", f"""SELECT l_orderkey, b AS code FROM ({SLOTS_SQL}) s
 WHERE b IS NOT NULL AND b NOT IN ('', 'None')""")
 def r3_melt(spark, sf_dir):
     from cohortlens.operators import enrich as en
-    return en.melt_slots(line_slots(spark, sf_dir), SLOTS, ids=["l_orderkey"])
+    wide, slots = line_slots(spark, sf_dir)
+    return en.melt_slots(wide, slots, ids=["l_orderkey"])
 
 
-@register("C6_codes", f"""WITH s AS ({SLOTS_SQL}), o AS (SELECT DISTINCT l_orderkey FROM s)
-SELECT o.l_orderkey, {', '.join(f"coalesce(trim(s{i}.b), '') AS slot_{i}" for i in range(1, LINE_SLOTS + 1))}
-FROM o {' '.join(f"LEFT JOIN s s{i} ON s{i}.l_orderkey = o.l_orderkey AND s{i}.l_linenumber = {i}"
-                 for i in range(1, LINE_SLOTS + 1))}""")
+@register("C6_codes", f"""WITH s AS ({SLOTS_SQL}),
+grid AS (SELECT o.l_orderkey, CAST(r.range AS INTEGER) AS slot
+         FROM (SELECT DISTINCT l_orderkey FROM s) o, range(1, (SELECT max(slot) FROM s) + 1) r)
+SELECT g.l_orderkey, g.slot, coalesce(trim(s.b), '') AS code
+FROM grid g LEFT JOIN s ON s.l_orderkey = g.l_orderkey AND s.slot = g.slot""")
 def c6_codes(spark, sf_dir):
-    w = line_slots(spark, sf_dir)
-    return w.select("l_orderkey", *[cl.clean_code(c).alias(c) for c in SLOTS])
+    """Cleaned code slots, one row a slot (the number of slots follows the data)."""
+    wide, slots = line_slots(spark, sf_dir)
+    cells = F.array(*[F.struct(F.lit(i + 1).alias("slot"), cl.clean_code(c).alias("code")) for i, c in enumerate(slots)])
+    return wide.select("l_orderkey", F.inline(cells))

@@ -20,63 +20,44 @@ L = P.LOOKBACK_DAYS
 
 # ---- Spark side -----------------------------------------------------------
 
-_MEMO: dict = {}
-
-
-def _memo(fn):
-    """One lazy DataFrame per (session, tables, stage): later queries reuse the
-    built plan object instead of re-analysing it."""
-    def wrapped(spark, sf_dir):
-        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
-        if key not in _MEMO:
-            _MEMO[key] = fn(spark, sf_dir)
-        return _MEMO[key]
-    wrapped.__name__ = fn.__name__
-    wrapped.__doc__ = fn.__doc__
-    return wrapped
-
-
-@_memo
 def cohort_claims(spark, sf_dir):
     """Claims in the load window (C8), without code slots."""
     return driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END)
 
 
-@_memo
 def covered(spark, sf_dir):
     """Covered beneficiaries."""
     return driver.beneficiaries(spark, sf_dir).filter(F.col("coverage") >= 1)
 
 
-@_memo
+def _inpatient_of_year(spark, sf_dir):
+    return (driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END, types=["inpatient"])
+            .filter(year_range(S.DATE, P.YEAR)))
+
+
+def case_claims(spark, sf_dir):
+    """Inpatient claims of the study year with the case code in a slot (a
+    semi-join against the distinct orders having a line of that brand)."""
+    return _inpatient_of_year(spark, sf_dir).join(driver.orders_with_brand(spark, sf_dir, P.CASE_CODE), S.CLAIM, "left_semi")
+
+
 def cases(spark, sf_dir):
-    """Q4: inpatient claims of the study year with the case code in a slot
-    (a semi-join against the orders having a line of that brand)."""
-    inpatient = (driver.claims(spark, sf_dir, P.CLAIM_START, P.CLAIM_END, types=["inpatient"])
-                 .filter(year_range(S.DATE, P.YEAR)))
-    hit = inpatient.join(driver.orders_with_brand(spark, sf_dir, P.CASE_CODE), S.CLAIM, "left_semi")
-    return co.latest_dates(hit)
+    """Q4: the latest case claim of each person."""
+    return co.latest_dates(case_claims(spark, sf_dir))
 
 
-@_memo
 def index_dates(spark, sf_dir):
-    """Q5, written once to the session's checkpoint folder (the reference
-    saves this stage too): one row per person, read by every later stage
-    instead of re-running case finding and the control draw."""
-    from cohortlens.session import checkpoint_dir
-    checkpoint_dir(spark, fallback="local-temp")
-    idx = co.assign_index_dates(cases(spark, sf_dir), cohort_claims(spark, sf_dir), covered(spark, sf_dir),
-                                P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
-    return idx.checkpoint(eager=True)
+    """Q5, planned anew by each query that reads it: one aggregate on the person."""
+    hits = case_claims(spark, sf_dir).select(S.PERSON, F.col(S.DATE).alias("latest_case_date"))
+    return co.assign_index_dates(hits, cohort_claims(spark, sf_dir), covered(spark, sf_dir),
+                                 P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
 
 
 def window_claims(spark, sf_dir, days=L, codes=True):
     """Claims in each person's lookback window; code slots are attached
     to these claims only."""
     w = fe.lookback(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), days)
-    # line items are narrowed by the load window's order ids (a pushed-down
-    # scan), so the lookback join itself runs once
-    return driver.attach_codes(spark, sf_dir, w, ids=cohort_claims(spark, sf_dir)) if codes else w
+    return driver.attach_codes(spark, sf_dir, w) if codes else w
 
 
 def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES), pairs=tuple(PAIRS),
@@ -86,14 +67,9 @@ def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES),
     return fe.features_from_window(index_dates(spark, sf_dir), window, demo, days, icd, hcpcs, pairs)
 
 
-@_memo
 def dataset(spark, sf_dir):
-    """Q7: the full feature dataset, written once to the session's checkpoint
-    folder; the pair analysis and the model read it from there (the
-    reference saves it and reads it back the same way)."""
-    from cohortlens.session import checkpoint_dir
-    checkpoint_dir(spark, fallback="local-temp")
-    return features(spark, sf_dir).checkpoint(eager=True)
+    """Q7: the full feature dataset."""
+    return features(spark, sf_dir)
 
 
 # ---- SQL side ---------------------------------------------------------------
@@ -110,8 +86,8 @@ INDEX_SQL = f"""
 WITH cases AS ({CASES_SQL}),
 draws AS (
   SELECT person_id,
-         arg_min(claim_date, md5(concat_ws('|', CAST(person_id AS VARCHAR), CAST(claim_id AS VARCHAR), '{P.SEED}')))
-           AS index_date
+         arg_min(claim_date, ('0x' || substr(md5(concat_ws('|', CAST(person_id AS VARCHAR), CAST(claim_id AS VARCHAR),
+           '{P.SEED}')), 1, 15))::BIGINT) AS index_date
   FROM ({CL_SQL}) c
   WHERE claim_date BETWEEN DATE '{Y0}' AND DATE '{Y1}'
     AND claim_date BETWEEN DATE '{P.CONTROL_START}' AND DATE '{P.CONTROL_END}'
@@ -174,6 +150,15 @@ LEFT JOIN a ON i.person_id = a.person_id AND i.case_ind = a.case_ind AND i.index
 # ---- registered queries ------------------------------------------------------
 
 register("Q4_cases", CASES_SQL)(cases)
+
+
+@register("C20_any_slot", CASES_SQL)
+def c20_any_slot(spark, sf_dir):
+    """Case finding over the code-slot arrays themselves."""
+    claims = driver.attach_codes(spark, sf_dir, _inpatient_of_year(spark, sf_dir))
+    return co.find_cases(claims, P.CASE_CODE, P.YEAR)
+
+
 register("Q5_index_dates", INDEX_SQL)(index_dates)
 
 

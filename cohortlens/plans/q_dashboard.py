@@ -54,7 +54,7 @@ def j7_dx_described(spark, sf_dir):
     return db.describe(agg, driver.dx_lookup(spark, sf_dir))
 
 
-def _series_sql(period: str, where: str = "", max_week: int = 52) -> str:
+def _series_sql(period: str, where: str = "", max_week: int = 53) -> str:
     types = "(VALUES ('inpatient'), ('outpatient'), ('carrier')) t(file_type)"
     if period == "week":
         spine = f"SELECT CAST(w.range AS INTEGER) AS week, t.file_type FROM range(1, {max_week + 1}) w, {types}"

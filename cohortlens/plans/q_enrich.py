@@ -165,7 +165,27 @@ def x3_screen(spark, sf_dir):
     return en.significance_screen(_stats(spark, sf_dir, p_values=True)).drop("p_value")
 
 
-@register("Q10_enrichment_report", None)
+# erfc(sqrt(chi2 / 2)): the series below z = 2.5, the continued fraction above it
+P_SQL = """CASE WHEN chi2 <= 0 THEN 1.0 WHEN sqrt(chi2 / 2) < 2.5 THEN 1.0 - 2.0 * sqrt(chi2 / 2) / sqrt(pi()) * exp(-chi2 / 2)
+  * (1.0 + list_sum(list_transform(range(1, 81), lambda n: list_product(list_transform(range(1, n + 1),
+      lambda m: chi2 / (2.0 * m + 1.0))))))
+  ELSE exp(-chi2 / 2) / (sqrt(chi2 / 2) * sqrt(pi())) / list_reduce(list_reverse(range(1, 81))::DOUBLE[],
+      lambda a, n: 1.0 + n / chi2 / a, 1.0::DOUBLE) END"""
+
+
+def _report_sql(stats):
+    return f"""SELECT *, round({P_SQL}, 12) AS p_value FROM ({stats}) z WHERE {P_SQL} < 0.05
+  AND ((odds_ratio > 2 AND prevalence_difference > 0.01) OR (odds_ratio < 0.5 AND prevalence_difference < -0.01))"""
+
+
+@register("Q10_enrichment_report", _report_sql(STATS_SQL))
 def q10_enrichment_report(spark, sf_dir):
-    """The full report with p-values (rows-only check)."""
-    return en.significance_screen(_stats(spark, sf_dir, p_values=True))
+    """The full report with p-values."""
+    out = en.significance_screen(_stats(spark, sf_dir, p_values=True))
+    return out.withColumn("p_value", F.round("p_value", 12))
+
+
+@register("X2_p_values", f"SELECT code, round({P_SQL}, 12) AS p_value FROM ({STATS_SQL}) z")
+def x2_p_values(spark, sf_dir):
+    """The chi-square p-value of every code, unscreened."""
+    return _stats(spark, sf_dir, p_values=True).select("code", F.round("p_value", 12).alias("p_value"))

@@ -40,7 +40,7 @@ pr AS (SELECT a.code AS code1, b.code AS code2, a.pos AS pos1, b.pos AS pos2,
               sum(CASE WHEN a.case_ind = 0 THEN b.v ELSE 0 END) AS n2_neg,
               sum(CASE WHEN a.case_ind = 0 THEN a.v * b.v ELSE 0 END) AS n11_neg
        FROM lg a JOIN lg b ON a.person_id = b.person_id AND a.pos < b.pos
-       GROUP BY 1, 2, 3, 4)
+       GROUP BY 1, 2, 3, 4 HAVING sum(a.v * b.v) > 0)
 SELECT code1, code2, pos1, pos2, CAST(n_pos AS BIGINT) AS n_pos, CAST(n1_pos AS BIGINT) AS n1_pos,
        CAST(n2_pos AS BIGINT) AS n2_pos, CAST(n11_pos AS BIGINT) AS n11_pos, CAST(n_neg AS BIGINT) AS n_neg,
        CAST(n1_neg AS BIGINT) AS n1_neg, CAST(n2_neg AS BIGINT) AS n2_neg, CAST(n11_neg AS BIGINT) AS n11_neg
@@ -58,7 +58,7 @@ def _mi_sql(n, n1, n2, n11):
              (f"(({n}) - ({n1}) - ({n2}) + ({n11}))", f"(({n}) - ({n1}))", f"(({n}) - ({n2}))")]
     terms = [f"CASE WHEN {x} > 0 THEN ({x} / ({n})) * ln((({n}) * {x}) / ({a} * {b})) ELSE 0.0 END"
              for x, a, b in cells]
-    return f"CASE WHEN ({n}) > 0 THEN round(0.0 + {' + '.join(terms)}, 10) END"
+    return f"CASE WHEN ({n}) > 0 THEN 0.0 + {' + '.join(terms)} END"
 
 
 MI_POS = _mi_sql("CAST(n_pos AS DOUBLE)", "CAST(n1_pos AS DOUBLE)", "CAST(n2_pos AS DOUBLE)",
@@ -95,9 +95,14 @@ def r5_lower(spark, sf_dir):
 MI_SQL = f"WITH c AS ({COUNTS_SQL}) SELECT code1, code2, pos1, pos2, {MI_POS} AS mutual_info FROM c"
 
 
-@register("X6_mi", MI_SQL)
+def _rounded(df, col="mutual_info", digits=10):
+    """Only what is reported is rounded, after any ranking."""
+    return df.withColumn(col, F.round(col, digits))
+
+
+@register("X6_mi", f"SELECT * REPLACE (round(mutual_info, 10) AS mutual_info) FROM ({MI_SQL}) m")
 def x6_mi(spark, sf_dir):
-    return pr.mutual_information(counts(spark, sf_dir))
+    return _rounded(pr.mutual_information(counts(spark, sf_dir)))
 
 
 @register("U3_combined", f"""
@@ -142,9 +147,9 @@ SELECT code1, code2, tp, fp, fn, tn, PPV, prevalence_pos, prevalence_neg,
 FROM s"""
 
 
-@register("X7_pair_stats", X7_SQL)
+@register("X7_pair_stats", f"SELECT * REPLACE (round(mutual_info, 10) AS mutual_info) FROM ({X7_SQL}) s")
 def x7_pair_stats(spark, sf_dir):
-    return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=False)
+    return _rounded(pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=False))
 
 
 _LF = log_factorial_sql
@@ -155,20 +160,18 @@ sup AS (SELECT g.code1, g.code2, g.tp, x.k,
           const - ({_LF('x.k')} + {_LF('r1 - x.k')} + {_LF('c1 - x.k')} + {_LF('n - r1 - c1 + x.k')}) AS logp
         FROM g, LATERAL (SELECT unnest(range(greatest(0, r1 + c1 - n), least(r1, c1) + 1)) AS k) x),
 obs AS (SELECT code1, code2, logp + {LN_TOL!r} AS cut FROM sup WHERE k = tp)
-SELECT s.code1, s.code2, round(least(fsum(CASE WHEN s.logp <= o.cut THEN exp(s.logp) ELSE 0.0 END), 1.0), 12)
-         AS p_value
+SELECT s.code1, s.code2, least(fsum(CASE WHEN s.logp <= o.cut THEN exp(s.logp) ELSE 0.0 END), 1.0) AS p_value
 FROM sup s JOIN obs o ON s.code1 = o.code1 AND s.code2 = o.code2
 GROUP BY s.code1, s.code2"""
 
 
 def _with_p(spark, sf_dir):
-    st = pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
-    return st.withColumn("p_value", F.round("p_value", 12))
+    return pr.pair_statistics(pr.pair_table(counts(spark, sf_dir)), p_values=True)
 
 
-@register("X8_fisher", FISHER_SQL)
+@register("X8_fisher", f"SELECT code1, code2, round(p_value, 12) AS p_value FROM ({FISHER_SQL}) f")
 def x8_fisher(spark, sf_dir):
-    return _with_p(spark, sf_dir).select("code1", "code2", "p_value")
+    return _with_p(spark, sf_dir).select("code1", "code2", F.round("p_value", 12).alias("p_value"))
 
 
 X9_SQL = f"""WITH z AS (SELECT a.*, b.p_value FROM ({X7_SQL}) a
@@ -178,6 +181,7 @@ UNION
 SELECT * FROM (SELECT * FROM z ORDER BY p_value, code1, code2 LIMIT 20) top"""
 
 
-@register("X9_select_pairs", X9_SQL)
+@register("X9_select_pairs", f"""SELECT * REPLACE (round(p_value, 12) AS p_value, round(mutual_info, 10) AS mutual_info)
+FROM ({X9_SQL}) z""")
 def x9_select_pairs(spark, sf_dir):
-    return pr.select_pairs(_with_p(spark, sf_dir))
+    return _rounded(_rounded(pr.select_pairs(_with_p(spark, sf_dir))), "p_value", 12)

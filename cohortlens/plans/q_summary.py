@@ -43,7 +43,7 @@ def merged_claims(spark, sf_dir):
     top = sm.top_persons(in_year, P.TOP_N)
     # Select the people first, then attach the procedure code only to their
     # claims: the line/part join runs on the reduced set.
-    chosen = sm.keep_keys(in_year, top, S.PERSON, n_bound=P.TOP_N)
+    chosen = sm.keep_keys(in_year, top, S.PERSON)
     return _with_proc(spark, sf_dir, chosen).select(
         S.PERSON, S.CLAIM, S.DATE, S.AMOUNT, S.DX, S.PROC, S.FILE_TYPE)
 

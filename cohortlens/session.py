@@ -62,32 +62,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session (idempotent)."""
+    """Apply the runtime settings to an existing session, on request (idempotent)."""
     for k, v in RUNTIME_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
+        spark.conf.set(k, v)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting must come from the session; a fallback (for
-    tests on one machine) is only applied when nothing is configured.
-    ``fallback="local-temp"`` makes a fresh temporary folder in that case.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set on this session")
-    if fallback == "local-temp":
-        import tempfile
-        fallback = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; where
+    that is unset, a folder below the session's (shared) warehouse."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
+    return path

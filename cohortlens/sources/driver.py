@@ -48,23 +48,10 @@ TABLE_SCHEMAS = {
     "labels": "doc_id bigint, quality int, toxic int",
 }
 
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table (declared schema; one scan object per session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None:
-        from cohortlens.session import configure
-        configure(spark)
-        reader = spark.read
-        if name in TABLE_SCHEMAS:
-            reader = reader.schema(TABLE_SCHEMAS[name])
-        df = reader.parquet(path)
-        _SCANS[key] = df
-    return df
+    """Scan of one driver table (declared schema)."""
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _file_type(col: str) -> F.Column:
@@ -134,7 +121,7 @@ def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame, ids: DataF
     date-filtered orders avoids evaluating ``claims`` twice), then joined to
     part and grouped per order.  The semi-join keeps line items on the
     streamed side, so AQE can split an order with very many lines."""
-    ids = (claims if ids is None else ids).select(F.col(S.CLAIM).alias("l_orderkey"))
+    ids = (claims if ids is None else ids).select(F.col(S.CLAIM).alias("l_orderkey")).distinct()
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(ids, "l_orderkey", "left_semi")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     codes = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
@@ -148,7 +135,8 @@ def orders_with_brand(spark: SparkSession, sf_dir: str, brand: str) -> DataFrame
     pushed into the part scan; the part keys of one brand are a small side)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf_dir, "part").filter(F.col("p_brand") == brand).select("p_partkey")
-    return li.join(p, li.l_partkey == p.p_partkey, "left_semi").select(F.col("l_orderkey").alias(S.CLAIM))
+    hits = li.join(p, li.l_partkey == p.p_partkey, "left_semi").select(F.col("l_orderkey").alias(S.CLAIM))
+    return hits.distinct()  # one row a task for an order with very many lines
 
 
 def beneficiaries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ read together as one DataFrame, so the scan is split across executors.
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Sequence
 
@@ -24,45 +25,104 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _header_columns(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names from the header line(s) of a CSV path (reads one line per file)."""
-    head = spark.read.option("header", True).option("sep", sep).csv(path)
-    return head.columns
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the data files of a folder."""
+    fs, hp = _hadoop_fs(spark, path)
+    if not fs.exists(hp):
+        raise FileNotFoundError(path)
+    if fs.getFileStatus(hp).isFile():
+        return [path]
+    found = [st.getPath() for st in fs.listStatus(hp) if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    return sorted(p.toString() for p in found)
+
+
+def _header(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
+    """Column names from a file's first line, read without a Spark job."""
+    fs, hp = _hadoop_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(hp)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(hp)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    names = next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), [])
+    return tuple(n.strip() for n in names)
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header; empty files are left out."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        for f in _data_files(spark, path):
+            head = _header(spark, f, sep)
+            if head:
+                groups.setdefault(head, []).append(f)
+    return groups
+
+
+def _read_by_name(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None, sep: str,
+                  mode: str = "PERMISSIVE") -> DataFrame:
+    """Every file's columns bound by its own header: typed where declared, text otherwise; files with different
+    headers are unioned by name."""
+    declared = {f.name: f for f in (schema.fields if schema else [])}
+    out = None
+    for head, files in _by_header(spark, paths, sep).items():
+        fields = T.StructType([declared.get(c, T.StructField(c, T.StringType(), True)) for c in head])
+        part = (spark.read.schema(fields).option("header", True).option("sep", sep).option("enforceSchema", False)
+                .option("mode", mode).csv(files))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], schema or T.StructType([])) if out is None else out
+
+
+def _declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns in their order; those a file lacks are NULL."""
+    return df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
 
 def load_file(spark: SparkSession, path: str | Sequence[str],
               required_columns: Sequence[str] | None = None,
               schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
-    """One claim CSV (or several of one type) with header.
+    """One claim CSV (or several of one type) with header, columns bound by name.
 
     Missing files raise (FileNotFoundError), a missing required column raises
-    ``ValueError('Missing required columns: [...]')``.  With a schema, only
-    the header's columns are declared, typed as the schema says; malformed
-    rows fail the job (FAILFAST) like a parser error.
+    ``ValueError('Missing required columns: [...]')``.  Columns named in the
+    schema are typed, all others are text; malformed rows fail the job
+    (FAILFAST) like a parser error.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    for p in paths:
-        fs, hp = _hadoop_fs(spark, p)
-        if not fs.exists(hp):
-            raise FileNotFoundError(p)
-    header = _header_columns(spark, paths, sep)
-    if required_columns:
-        missing = [c for c in required_columns if c not in header]
+    for head in _by_header(spark, paths, sep):
+        missing = [c for c in required_columns or () if c not in head]
         if missing:
             raise ValueError(f"Missing required columns: {missing}")
-    declared = {f.name: f for f in (schema.fields if schema else [])}
-    read_schema = T.StructType([declared.get(c, T.StructField(c, T.StringType(), True)) for c in header])
-    return (spark.read.schema(read_schema).option("header", True).option("sep", sep)
-            .option("mode", "FAILFAST").csv(paths))
+    return _read_by_name(spark, paths, schema, sep, "FAILFAST")
+
+
+def _ragged(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> set[str]:
+    """Names of files with a row of more fields than the header; one job a distinct header."""
+    bad: set[str] = set()
+    for head, files in _by_header(spark, paths, sep).items():
+        fields = T.StructType([T.StructField(c, T.StringType(), True) for c in [*head, "_bad"]])
+        rows = (spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", "_bad").csv(files))
+        rows = rows.where(F.col("_bad").isNotNull() & (F.size(F.split("_bad", F.lit("\\Q" + sep + "\\E"))) > len(head)))
+        bad |= {r.f for r in rows.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f"), F.col(f"`{head[0]}`"))
+                .select("f").distinct().collect()}
+    return bad
 
 
 def load_all(spark: SparkSession, data_dir: str, types: Sequence[str] = tuple(schemas.FILE_TYPES)
              ) -> dict[str, DataFrame]:
     """Every ``*.csv`` in ``data_dir``; a file belongs to each type whose
     name occurs in its file name (case-insensitive).  All files of a type are
-    unioned (deterministic, trap K1).  A file that fails its checks is skipped
-    with a warning; an absent type is left out of the result.  No CSV at all
-    raises FileNotFoundError.
+    unioned by column name (deterministic, trap K1).  A file that lacks a
+    required column or holds a row with too many fields is skipped with a
+    warning; an absent type is left out of the result.  No CSV at all raises
+    FileNotFoundError.
     """
     fs, hp = _hadoop_fs(spark, data_dir)
     if not fs.exists(hp):
@@ -70,47 +130,53 @@ def load_all(spark: SparkSession, data_dir: str, types: Sequence[str] = tuple(sc
     names = sorted(st.getPath().toString() for st in fs.listStatus(hp)
                    if st.isFile() and st.getPath().getName().endswith(".csv"))
     if not names:
-        raise FileNotFoundError(f"No CSV files found in {data_dir}")
+        raise FileNotFoundError(f"no CSV files in {data_dir}")
     out: dict[str, DataFrame] = {}
     for ftype in types:
         matched = [n for n in names if ftype.upper() in n.rsplit("/", 1)[-1].upper()]
+        ragged = _ragged(spark, matched)
         good = []
         for n in matched:
-            try:
-                load_file(spark, n, schemas.REQUIRED_ON_LOAD.get(ftype))
+            head = _header(spark, n, ",")
+            lacking = [c for c in schemas.REQUIRED_ON_LOAD.get(ftype, ()) if c not in head]
+            if lacking:
+                log.warning("skipping %s (%s): columns not found: %s", n, ftype, lacking)
+            elif n.rsplit("/", 1)[-1] in ragged:
+                log.warning("skipping %s (%s): a row has more fields than the header", n, ftype)
+            else:
                 good.append(n)
-            except Exception as exc:  # skipped, as the reference does
-                log.warning("Failed to load %s as %s: %s", n, ftype, exc)
         if good:
             out[ftype] = load_file(spark, good, schemas.REQUIRED_ON_LOAD.get(ftype),
                                    schemas.SCHEMAS.get(ftype))
     missing = [t for t in types if t not in out]
     if missing:
-        log.warning("Missing data for: %s", missing)
+        log.warning("no usable file of type: %s", missing)
     return out
 
 
 def load_typed(spark: SparkSession, path: str | Sequence[str], file_type: str,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """S3: declared schema, projected to ``columns`` (pruned in the scan)."""
+    """S3: the declared columns, bound by header name, projected to ``columns`` (pruned in the scan)."""
+    paths = [path] if isinstance(path, str) else list(path)
     schema = schemas.SCHEMAS[file_type]
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = _declared(_read_by_name(spark, paths, schema, ","), schema)
     return df.select(*columns) if columns else df
 
 
 def load_lookup(spark: SparkSession, path: str, code_col: str = "ICD9_CD",
                 desc_col: str = "ICD9_DESC_LONG") -> DataFrame:
     """Tab-separated code-to-description file, renamed to (code, description)."""
-    df = spark.read.option("header", True).option("sep", "\t").schema(schemas.LOOKUP).csv(path)
+    df = _read_by_name(spark, [path], schemas.LOOKUP, "\t")
     return df.select(F.col(code_col).alias("code"), F.col(desc_col).alias("description"))
 
 
 def load_processed(spark: SparkSession, path: str, schema: T.StructType | str,
                    date_cols: Sequence[str] = (), fmt: str = "csv") -> DataFrame:
-    """Re-read a stage output with its schema, dates parsed."""
+    """Re-read a stage output with its schema (bound by name), dates parsed."""
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    df = _declared(_read_by_name(spark, [path], declared, ","), declared)
     for c in date_cols:
         df = df.withColumn(c, F.to_date(F.col(c)))
     return df

@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from cohortlens.session import build_session, checkpoint_dir
-    s = build_session("local[4]", shuffle_partitions=4, app_name="cohortlens-tests")
-    # Tests run on one machine: a local checkpoint folder only because none is configured.
-    checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="cohortlens-test-ckpt-"))
+    from cohortlens.session import build_session
+    # Tests run on one machine, so a local folder may stand for the shared one.
+    folder = tempfile.mkdtemp(prefix="cohortlens-test-ckpt-")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="cohortlens-tests",
+                      extra={"spark.checkpoint.dir": f"file://{folder}"})
     yield s
     s.stop()
 

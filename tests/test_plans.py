@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 # Queries allowed to run Python (pandas UDFs on aggregated rows only).
-PYTHON_OK = {"Q10_enrichment_report", "X3_screen", "X8_fisher", "X9_select_pairs"}
+PYTHON_OK = {"X8_fisher", "X9_select_pairs"}
 SKIP = ("M8", "M16", "Q12")  # model fits run jobs while building
 
 

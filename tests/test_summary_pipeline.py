@@ -108,7 +108,7 @@ def test_merge_claims(claim_frames, tmp_path):
 
 def test_semi_join_plans_broadcast(claim_frames):
     stacked = sm.stack_claims(sm.filter_year(claim_frames, 2009))
-    merged = sm.merge_claims(stacked, sm.top_persons(stacked, 1), n_bound=1)
+    merged = sm.merge_claims(stacked, sm.top_persons(stacked, 1))
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     assert merged.filter(F.col("person_id") != "ID1").count() == 0
