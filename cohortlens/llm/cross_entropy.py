@@ -13,7 +13,10 @@ All counts are exact and over whole corpora.  Pairs of the ``HEAD`` most
 frequent words are counted in fixed arrays and scored where the text is read,
 so no pair that any corpus makes hot is shuffled by key; the other pairs go,
 packed, to buckets whose number follows the corpus, and there a pair's
-occurrences are counted and scored in one visit.
+occurrences are counted and scored in one visit.  What a bucket has found for
+the documents of one piece of input goes back as one packed row, so rows
+follow pieces and buckets, not their documents; these sums travel as 32-bit
+floats, which keeps seven digits.
 
 Texts without words (or null) have no tokens, losses 0 and score 0, and do not
 count.  Rows that share an id are scored together; rows without an id count
@@ -33,7 +36,7 @@ from cohortlens.llm import storage, textkit
 VOCABULARY = 1 << 17
 HEAD = 1 << 10
 LAMBDA, ALPHA = 0.6, 0.5
-BUCKET_PAIRS = 1_500_000
+BUCKET_PAIRS = 3_000_000
 _BACK, _TARGET, _UNSCORED = 0, 1, 2
 _BLOCK = 1 << 14
 
@@ -165,14 +168,17 @@ def _losses(pair: np.ndarray, history: np.ndarray, word: np.ndarray, single: np.
 
 
 def _scored(both: DataFrame, shared, head: int, buckets: int) -> DataFrame:
-    """Rows of two kinds: (doc_id, tokens, losses of head pairs), and packed pairs for a bucket."""
+    """Packed rows by piece of input: with bucket -1 its documents, their tokens and losses of head pairs; else its
+    other pairs of that bucket, with the rows they come from."""
     def run(batches):
+        from pyspark import TaskContext
         words, single, head_pairs = shared.value
         voc, size = Vocabulary(words), single.shape[1]
-        totals = single.sum(1)
+        totals, piece = single.sum(1), TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
-                kind, doc = np.asarray(part.column(0)), np.asarray(part.column(1))
+                piece += 1
+                kind, doc = np.asarray(part.column(0)).astype(np.uint8), np.asarray(part.column(1))
                 history, word, off = voc.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
                 n = np.diff(off)
                 row = np.repeat(np.arange(len(kind)), n)
@@ -181,76 +187,95 @@ def _scored(both: DataFrame, shared, head: int, buckets: int) -> DataFrame:
                 at = history[own] * head + word[own]
                 loss = [np.bincount(row[own], _losses(head_pairs[m][at], history[own], word[own], single[m], totals[m]),
                                     len(kind)).astype(float) for m in (0, 1)]
-                back = np.flatnonzero(kind == _BACK)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[back]), pa.array(n[back]), pa.array(loss[1][back]), pa.array(loss[0][back]),
-                     pa.nulls(len(back), pa.int32()), *[pa.nulls(len(back), pa.binary())] * 4], names=names)
+                out = [(piece, -1, kind.tobytes(), doc.astype(np.int64).tobytes(), n.astype(np.int64).tobytes(),
+                        np.stack(loss).tobytes())]
                 rest = np.flatnonzero(~inside)
                 key = history[rest] * size + word[rest]
                 bucket = key % buckets
                 order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
                 rest, key, bucket = rest[order], key[order], bucket[order]
                 cut = np.searchsorted(bucket, np.arange(buckets + 1))
-                out = []
                 for b in np.flatnonzero(np.diff(cut)).tolist():
                     s = slice(cut[b], cut[b + 1])
                     rows, m = np.unique(row[rest[s]], return_counts=True)  # in order of rows, as the sort was stable
-                    out.append((b, kind[rows].astype(np.uint8).tobytes(), doc[rows].astype(np.int64).tobytes(),
-                                m.astype(np.uint32).tobytes(), (key[s] // buckets).astype(np.int64).astype(
-                                    np.uint32 if size * size // buckets < 1 << 32 else np.int64).tobytes()))
-                if out:
-                    cols = list(zip(*out))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(out), pa.int64()), pa.nulls(len(out), pa.int64()), pa.nulls(len(out), pa.float64()),
-                         pa.nulls(len(out), pa.float64()), pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
-                        names=names)
-
-    schema = ("doc_id long, tokens long, target_loss double, background_loss double, bucket int, kinds binary, docs binary, "
-              "counts binary, pairs binary")
-    names = [c.split(" ")[0] for c in schema.split(", ")]
-    return both.mapInArrow(run, schema)
+                    out.append((piece, b, kind[rows].tobytes(), rows.astype(np.uint32).tobytes(), m.astype(np.uint32).tobytes(),
+                                (key[s] // buckets).astype(_width(size, buckets)).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    names = ["piece", "bucket", "kinds", "rows", "counts", "data"]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return both.mapInArrow(run, "piece long, bucket int, kinds binary, rows binary, counts binary, data binary")
+
+
+def _width(size: int, buckets: int):
+    """Type that holds a pair's quotient by the number of buckets."""
+    return np.uint32 if size * size // buckets < 1 << 32 else np.int64
+
+
+def _groups(batches, key: str):
+    """(key, rows) of consecutive rows with an equal key."""
+    now, held = None, []
+    for batch in batches:
+        at = batch.schema.get_field_index(key)
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[at] != now:
+                if held:
+                    yield now, held
+                now, held = row[at], []
+            held.append(row)
+    if held:
+        yield now, held
 
 
 def _bucket_losses(packed: DataFrame, shared, buckets: int) -> DataFrame:
-    """Count and score the pairs of each bucket; its size follows from the number of buckets."""
+    """Count and score the pairs of each bucket; one row for each piece it has pairs of."""
     def run(batches):
         _, single, _ = shared.value
         size, totals = single.shape[1], single.sum(1)
-        wide = np.uint32 if size * size // buckets < 1 << 32 else np.int64
-
-        def score(bucket, held):
-            kind = np.frombuffer(b"".join(h[0] for h in held), np.uint8)
-            doc = np.frombuffer(b"".join(h[1] for h in held), np.int64)
-            m = np.frombuffer(b"".join(h[2] for h in held), np.uint32).astype(np.int64)
-            keys, inv = np.unique(np.frombuffer(b"".join(h[3] for h in held), wide), return_inverse=True)
-            target = np.repeat(kind == _TARGET, m)
+        for bucket, held in _groups(batches, "bucket"):
+            kind = [np.frombuffer(h[2], np.uint8) for h in held]
+            m = [np.frombuffer(h[4], np.uint32).astype(np.int64) for h in held]
+            keys, inv = np.unique(np.frombuffer(b"".join(h[5] for h in held), _width(size, buckets)), return_inverse=True)
+            counts = np.concatenate(m)
+            target = np.repeat(np.concatenate(kind) == _TARGET, counts)
             count_t = np.bincount(inv, target, len(keys))
             count_b = np.bincount(inv, minlength=len(keys)) - count_t
             full = keys.astype(np.int64) * buckets + bucket
-            history, word = full // size, full % size
-            by_pair = [_losses(c, history, word, single[k], totals[k]) for k, c in ((0, count_b), (1, count_t))]
-            row = np.repeat(np.arange(len(m)), m)
-            loss = [np.bincount(row, x[inv], len(m)).astype(float) for x in by_pair]
+            row = np.repeat(np.arange(len(counts)), counts)
+            loss = [np.bincount(row, _losses(c, full // size, full % size, single[k], totals[k])[inv], len(counts))
+                    for k, c in ((0, count_b), (1, count_t))]
+            out, at = [], 0
+            for h, k in zip(held, kind):
+                ok = k == _BACK
+                if ok.any():
+                    mine = [x[at:at + len(k)][ok] for x in loss]
+                    out.append((h[0], bucket, None, np.frombuffer(h[3], np.uint32)[ok].tobytes(), None,
+                                np.stack(mine).astype(np.float32).tobytes()))
+                at += len(k)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+
+    names = ["piece", "bucket", "kinds", "rows", "counts", "data"]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        run, "piece long, bucket int, kinds binary, rows binary, counts binary, data binary")
+
+
+def _by_document(packed: DataFrame) -> DataFrame:
+    """(doc_id, tokens, target_loss, background_loss) from the rows of each piece, which its text's size bounds."""
+    def run(batches):
+        for _, held in _groups(batches, "piece"):
+            first = held[0]  # bucket -1
+            kind, doc, tokens = (np.frombuffer(first[i], t) for i, t in ((2, np.uint8), (3, np.int64), (4, np.int64)))
+            loss = np.frombuffer(first[5]).reshape(2, -1).copy()
+            for h in held[1:]:
+                loss[:, np.frombuffer(h[3], np.uint32)] += np.frombuffer(h[5], np.float32).reshape(2, -1)
             ok = kind == _BACK
-            ids, at = np.unique(doc[ok], return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(at, loss[1][ok], len(ids)).astype(float)),
-                                               pa.array(np.bincount(at, loss[0][ok], len(ids)).astype(float))],
-                                              names=["doc_id", "target_loss", "background_loss"])
-
-        now, held = None, []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != now:
-                    if held:
-                        yield score(now, held)
-                    now, held = row[0], []
-                held.append(row[1:])
-        if held:
-            yield score(now, held)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[ok]), pa.array(tokens[ok]), pa.array(loss[1][ok]), pa.array(loss[0][ok])],
+                                             names=["doc_id", "tokens", "target_loss", "background_loss"])
 
-    rows = packed.select("bucket", "kinds", "docs", "counts", "pairs")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        run, "doc_id long, target_loss double, background_loss double")
+    return packed.repartition("piece").sortWithinPartitions("piece", "bucket").mapInArrow(
+        run, "doc_id long, tokens long, target_loss double, background_loss double")
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
@@ -273,9 +298,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, folder: str, id
     buckets = max(1, -(-rest // bucket_pairs))
     shared = spark.sparkContext.broadcast((words, single, head_pairs))
     parts = storage.stage(_scored(both, shared, head, buckets), folder, "pairs")
-    here = parts.where("bucket is null").select("doc_id", "tokens", "target_loss", "background_loss")
-    there = _bucket_losses(parts.where("bucket is not null"), shared, buckets)
-    summed = here.unionByName(there.withColumn("tokens", F.lit(0).cast("long"))).groupBy("doc_id").agg(
+    found = parts.where("bucket < 0").unionByName(_bucket_losses(parts.where("bucket >= 0"), shared, buckets))
+    summed = _by_document(found).groupBy("doc_id").agg(
         F.sum("tokens").alias("n_tokens"), F.sum("target_loss").alias("target_loss"), F.sum("background_loss").alias("background_loss"))
     return summed.withColumn("score", F.when(F.col("n_tokens") > 0, (F.col("target_loss") - F.col("background_loss")) / F.col("n_tokens"))
                              .otherwise(0.0))
