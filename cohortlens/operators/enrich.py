@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens import schemas as S
@@ -35,11 +35,27 @@ def presence(long: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -> D
     return long.select(person, label, CODE).distinct()
 
 
-def class_size(people: DataFrame, cls: int, person: str = S.PERSON, label: str = S.LABEL) -> F.Column:
-    """Distinct people of one class, as a scalar subquery (one value,
-    computed once; no join, no cross product)."""
-    return (people.filter(F.col(label) == cls).select(person).distinct()
-            .agg(F.count("*").cast("double")).scalar())
+def marked_presence(window: DataFrame, long: DataFrame | None = None, codes: str = S.ICD, person: str = S.PERSON,
+                    label: str = S.LABEL) -> DataFrame:
+    """A12 + A16 in one stream: distinct (person, class, code), with a NULL code
+    for every person of the window.  From the window's own code arrays, so the
+    window is evaluated once, or from separate ``long`` rows."""
+    if long is None:
+        cells = F.concat(F.coalesce(F.col(codes), F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
+        return window.select(person, label, F.explode(cells).alias(CODE)).distinct()
+    people = window.select(person, label, F.lit(None).cast("string").alias(CODE))
+    return people.union(long.where(F.col(CODE).isNotNull()).select(person, label, CODE)).distinct()
+
+
+def _with_totals(per_code: DataFrame, pos: str, neg: str) -> DataFrame:
+    """Per-code rows with the NULL code's counts as ``n_pos`` and ``n_neg`` (a
+    window over one row a code), without that row."""
+    whole = Window.partitionBy()
+
+    def total(c):
+        return F.coalesce(F.max(F.when(F.col(CODE).isNull(), F.col(c))).over(whole), F.lit(0)).cast("double")
+
+    return (per_code.withColumn("n_pos", total(pos)).withColumn("n_neg", total(neg)).where(F.col(CODE).isNotNull()))
 
 
 def pivot_wide(long: DataFrame, codes, value: str = "presence", person: str = S.PERSON,
@@ -58,13 +74,13 @@ def class_means(long: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -
 
     Prevalence ratio is NULL when the negative mean is 0; frequency ratio is
     infinite there (the reference's two conventions)."""
-    freq = frequency(long, person, label)
-    n_pos, n_neg = class_size(freq, 1, person, label), class_size(freq, 0, person, label)
-    per_code = freq.groupBy(CODE).agg(
+    marked = long.select(person, label, F.explode(F.array(F.col(CODE), F.lit(None).cast("string"))).alias(CODE))
+    per_code = _with_totals(frequency(marked, person, label).groupBy(CODE).agg(
         F.count(F.when(F.col(label) == 1, True)).alias("pos_people"),
         F.count(F.when(F.col(label) == 0, True)).alias("neg_people"),
         F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("frequency"))), F.lit(0)).alias("pos_freq"),
-        F.coalesce(F.sum(F.when(F.col(label) == 0, F.col("frequency"))), F.lit(0)).alias("neg_freq"))
+        F.coalesce(F.sum(F.when(F.col(label) == 0, F.col("frequency"))), F.lit(0)).alias("neg_freq")), "pos_people", "neg_people")
+    n_pos, n_neg = F.col("n_pos"), F.col("n_neg")
     pp, pn = F.try_divide(F.col("pos_people"), n_pos), F.try_divide(F.col("neg_people"), n_neg)
     fp, fn = F.try_divide(F.col("pos_freq"), n_pos), F.try_divide(F.col("neg_freq"), n_neg)
     return per_code.select(
@@ -79,9 +95,9 @@ def screen_codes(means: DataFrame, min_diff: float = 0.01, min_ratio: float = 2.
     """X4 + U4: codes passing the prevalence screen or the frequency screen
     (difference > min_diff and ratio > min_ratio; NULL ratios fail, infinite
     pass), as one distinct code list."""
-    prev = means.filter((F.col("prev_diff") > min_diff) & (F.col("prev_ratio") > min_ratio)).select(CODE)
-    freq = means.filter((F.col("freq_diff") > min_diff) & (F.col("freq_ratio") > min_ratio)).select(CODE)
-    return prev.union(freq).distinct()
+    prev = (F.col("prev_diff") > min_diff) & (F.col("prev_ratio") > min_ratio)
+    freq = (F.col("freq_diff") > min_diff) & (F.col("freq_ratio") > min_ratio)
+    return means.filter(prev | freq).select(CODE)
 
 
 def class_averages(window: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -> DataFrame:
@@ -95,32 +111,29 @@ def class_averages(window: DataFrame, person: str = S.PERSON, label: str = S.LAB
         (F.sum("spend").cast("double") / F.count("*")).alias("avg_spend"))
 
 
-def prevalence_by_class(window: DataFrame, long: DataFrame, top: int | None = 10,
-                        person: str = S.PERSON, label: str = S.LABEL) -> DataFrame:
+def prevalence_by_class(window: DataFrame, long: DataFrame | None = None, top: int | None = 10,
+                        person: str = S.PERSON, label: str = S.LABEL, codes: str = S.ICD) -> DataFrame:
     """Per code, share of people of each class with the code, over the
     people with a claim in the window (K10); difference; top by difference."""
-    n_pos, n_neg = class_size(window, 1, person, label), class_size(window, 0, person, label)
-    per_code = presence(long, person, label).groupBy(CODE).agg(
-        F.count(F.when(F.col(label) == 1, True)).alias("n_pos"),
-        F.count(F.when(F.col(label) == 0, True)).alias("n_neg"))
-    out = per_code.select(CODE, F.try_divide(F.col("n_pos"), n_pos).alias("prevalence_pos"),
-                          F.try_divide(F.col("n_neg"), n_neg).alias("prevalence_neg"))
+    t = contingency(window, long, person, label, codes)
+    out = t.select(CODE, F.try_divide(F.col("pos_with_code").cast("double"), F.col("n_pos")).alias("prevalence_pos"),
+                   F.try_divide(F.col("neg_with_code").cast("double"), F.col("n_neg")).alias("prevalence_neg"))
     out = out.withColumn("difference", F.col("prevalence_pos") - F.col("prevalence_neg"))
     if top:
         out = out.orderBy(F.desc("difference"), F.asc(CODE)).limit(top)
     return out
 
 
-def contingency(window: DataFrame, long: DataFrame, person: str = S.PERSON,
-                label: str = S.LABEL) -> DataFrame:
+def contingency(window: DataFrame, long: DataFrame | None = None, person: str = S.PERSON,
+                label: str = S.LABEL, codes: str = S.ICD) -> DataFrame:
     """Per code, people with the code in each class and the class totals
     (people with a claim in the window)."""
-    n_pos, n_neg = class_size(window, 1, person, label), class_size(window, 0, person, label)
-    per_code = presence(long, person, label).groupBy(CODE).agg(
+    per_code = marked_presence(window, long, codes, person, label).groupBy(CODE).agg(
         F.count(F.when(F.col(label) == 1, True)).alias("pos_with_code"),
         F.count(F.when(F.col(label) == 0, True)).alias("neg_with_code"))
-    return per_code.select(CODE, "pos_with_code", "neg_with_code",
-                           n_pos.cast("long").alias("n_pos"), n_neg.cast("long").alias("n_neg"))
+    t = _with_totals(per_code, "pos_with_code", "neg_with_code")
+    return t.select(CODE, "pos_with_code", "neg_with_code", F.col("n_pos").cast("long").alias("n_pos"),
+                    F.col("n_neg").cast("long").alias("n_neg"))
 
 
 def code_statistics(table: DataFrame, p_values: bool = True) -> DataFrame:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from cohortlens import schemas as S
 from cohortlens.functions import stats as st
 from cohortlens.operators import enrich as en
+from cohortlens.operators import features as fe
 from cohortlens.plans import params as P
-from cohortlens.plans.q_cohort import window_claims, window_sql
+from cohortlens.plans.q_cohort import cohort_claims, index_dates, window_claims, window_sql
 from cohortlens.plans.registry import register
+from cohortlens.sources import driver
 
 W = f"w AS ({window_sql()})"
 LONG = "l AS (SELECT person_id, case_ind, unnest(icd_codes) AS code FROM w)"
@@ -108,7 +110,7 @@ SELECT code, np / n_pos AS prevalence_pos, nn / n_neg AS prevalence_neg,
        np / n_pos - nn / n_neg AS difference
 FROM pc, n ORDER BY difference DESC, code LIMIT 10""")
 def a17_prevalence(spark, sf_dir):
-    return en.prevalence_by_class(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
+    return en.prevalence_by_class(window_claims(spark, sf_dir))
 
 
 CONT_SQL = f"""WITH {W}, {LONG}, {PRES}, {WIN_N}
@@ -120,7 +122,7 @@ FROM p, n GROUP BY code"""
 
 @register("A18_contingency", CONT_SQL)
 def a18_contingency(spark, sf_dir):
-    return en.contingency(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
+    return en.contingency(window_claims(spark, sf_dir))
 
 
 STATS_SQL = f"""WITH t AS ({CONT_SQL}),
@@ -142,7 +144,7 @@ FROM g"""
 
 
 def _stats(spark, sf_dir, p_values=False):
-    table = en.contingency(window_claims(spark, sf_dir, codes=False), _long(spark, sf_dir))
+    table = en.contingency(window_claims(spark, sf_dir))
     return en.code_statistics(table, p_values=p_values)
 
 
@@ -189,3 +191,53 @@ def q10_enrichment_report(spark, sf_dir):
 def x2_p_values(spark, sf_dir):
     """The chi-square p-value of every code, unscreened."""
     return _stats(spark, sf_dir, p_values=True).select("code", F.round("p_value", 12).alias("p_value"))
+
+
+# ---- the same report on procedure codes -------------------------------------
+
+def _proc(sql: str) -> str:
+    return sql.replace("unnest(icd_codes)", "unnest(hcpcs_codes)")
+
+
+def _proc_stats(spark, sf_dir, p_values=False):
+    return en.code_statistics(en.contingency(window_claims(spark, sf_dir), codes=S.HCPCS), p_values=p_values)
+
+
+@register("A14_class_means_proc", _proc(A14_SQL))
+def a14_class_means_proc(spark, sf_dir):
+    return en.class_means(en.explode_codes(window_claims(spark, sf_dir), S.HCPCS))
+
+
+@register("A18_contingency_proc", _proc(CONT_SQL))
+def a18_contingency_proc(spark, sf_dir):
+    return en.contingency(window_claims(spark, sf_dir), codes=S.HCPCS)
+
+
+@register("X2_code_stats_proc", _proc(STATS_SQL))
+def x2_code_stats_proc(spark, sf_dir):
+    return _proc_stats(spark, sf_dir)
+
+
+@register("Q10_report_proc", _proc(_report_sql(STATS_SQL)))
+def q10_report_proc(spark, sf_dir):
+    out = en.significance_screen(_proc_stats(spark, sf_dir, p_values=True))
+    return out.withColumn("p_value", F.round("p_value", 12))
+
+
+# ---- a window that includes the index day: the case code itself is enriched --
+
+def _incl(sql: str) -> str:
+    return sql.replace("c.claim_date < i.index_date", "c.claim_date <= i.index_date")
+
+
+def _incl_stats(spark, sf_dir):
+    idx = index_dates(spark, sf_dir).withColumn(S.INDEX_DATE, F.date_add(S.INDEX_DATE, 1))
+    w = fe.lookback(idx, cohort_claims(spark, sf_dir), P.LOOKBACK_DAYS + 1)
+    return en.code_statistics(en.contingency(driver.attach_codes(spark, sf_dir, w)))
+
+
+@register("X3_screen_index_day", _incl(_report_sql(STATS_SQL)))
+def x3_screen_index_day(spark, sf_dir):
+    """The report over the lookback window and the index day."""
+    stats = _incl_stats(spark, sf_dir).withColumn("p_value", st.chi2_pvalue("chi2"))
+    return en.significance_screen(stats).withColumn("p_value", F.round("p_value", 12))

@@ -106,12 +106,11 @@ def _ragged(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> set[st
     """Names of files with a row of more fields than the header; one job a distinct header."""
     bad: set[str] = set()
     for head, files in _by_header(spark, paths, sep).items():
-        fields = T.StructType([T.StructField(c, T.StringType(), True) for c in [*head, "_bad"]])
-        rows = (spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", "_bad").csv(files))
-        rows = rows.where(F.col("_bad").isNotNull() & (F.size(F.split("_bad", F.lit("\\Q" + sep + "\\E"))) > len(head)))
-        bad |= {r.f for r in rows.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f"), F.col(f"`{head[0]}`"))
-                .select("f").distinct().collect()}
+        # a field beyond the header falls into one more column
+        fields = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(len(head) + 1)])
+        rows = spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(files)
+        more = rows.where(F.col(f"c{len(head)}").isNotNull()).select(F.input_file_name().alias("f"))
+        bad |= {r.f.rsplit("/", 1)[-1] for r in more.distinct().collect()}
     return bad
 
 

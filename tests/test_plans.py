@@ -69,3 +69,27 @@ def test_python_runs_above_an_aggregate(spark, name):
                 break
             below.append(nxt)
         assert any("HashAggregate" in b for b in below), name
+
+
+def test_index_dates_is_one_aggregate(spark):
+    """Q5: no sort aggregate, and the only join is case finding's semi-join on orders of one brand."""
+    plan = _plan(spark, "Q5_index_dates").split("== Initial Plan ==")[-1]
+    assert "SortAggregate" not in plan and plan.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["A18_contingency", "X2_code_stats", "A14_class_means", "X4_screen"])
+def test_window_once(spark, name):
+    plan = _plan(spark, name).split("== Initial Plan ==")[-1]
+    assert plan.count("customer.parquet") == 1  # index dates, so the lookback join, appear once
+
+
+def test_melt_keeps_every_line(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert E.queries()["R3_melt"](spark, SF).count() == lines
+
+
+def test_weekly_series_is_complete(spark):
+    from pyspark.sql import functions as F
+    weekly = E.queries()["A4_weekly"](spark, SF).agg(F.sum("claim_amt")).first()[0]
+    total = E.queries()["U5_merged_claims"](spark, SF).agg(F.sum("claim_amt")).first()[0]
+    assert abs(weekly - total) < 0.01

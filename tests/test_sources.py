@@ -68,3 +68,28 @@ def test_fixed_width(spark, tmp_path):
     df = files.load_fixed_width(spark, p, [("code", 1, 4), ("description", 6, 17)])
     assert sorted((r.code, r.description) for r in df.collect()) == [("0389", "Infection NOS"),
                                                                     ("4019", "Hypertension NOS")]
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    """Extra columns, reversed order, two headers of one type."""
+    d = tmp_path / "raw"
+    d.mkdir()
+    _write(d / "a_outpatient.csv", "X,ICD9_DGNS_CD_1,HCPCS_CD_1,CLM_PMT_AMT,CLM_FROM_DT,CLM_ID,DESYNPUF_ID\n"
+           "9,i1,h1,5.5,20090101,C1,A\n")
+    _write(d / "b_outpatient.csv", "DESYNPUF_ID,CLM_ID,CLM_FROM_DT,CLM_PMT_AMT,HCPCS_CD_1,ICD9_DGNS_CD_1\nB,C2,20090102,1.5,h2,i2\n")
+    out = files.load_all(spark, str(d))["outpatient"]
+    got = {r.CLM_ID: (r.DESYNPUF_ID, r.CLM_PMT_AMT, r.HCPCS_CD_1, r.ICD9_DGNS_CD_1, r.X) for r in out.collect()}
+    assert got == {"C1": ("A", 5.5, "h1", "i1", "9"), "C2": ("B", 1.5, "h2", "i2", None)}
+    typed = files.load_typed(spark, str(d / "a_outpatient.csv"), "outpatient", ["CLM_ID", "CLM_PMT_AMT", "HCPCS_CD_2"])
+    assert [tuple(r) for r in typed.collect()] == [("C1", 5.5, None)]
+    p = _write(tmp_path / "swapped.tsv", "ICD9_DESC_LONG\tOTHER\tICD9_CD\nInfection NOS\tz\t0389\n")
+    assert [tuple(r) for r in files.load_lookup(spark, p).collect()] == [("0389", "Infection NOS")]
+    back = files.load_processed(spark, _write(tmp_path / "st.csv", "b,a\n2009-01-02,1\n"), "a int, b string", ["b"])
+    assert [(r.a, str(r.b)) for r in back.collect()] == [(1, "2009-01-02")]
+
+
+def test_ragged_file_is_skipped(spark, tmp_path):
+    head = "DESYNPUF_ID,CLM_ID,CLM_FROM_DT,CLM_PMT_AMT,HCPCS_CD_1,ICD9_DGNS_CD_1\n"
+    _write(tmp_path / "a_outpatient.csv", head + "A,C1,20090101,5.5,h,x\nA,C9,20090101,5.5,h,x,too,many\n")
+    _write(tmp_path / "b_outpatient.csv", head + "B,C2,20090102,1.5,h,y\n")
+    assert [r.CLM_ID for r in files.load_all(spark, str(tmp_path))["outpatient"].collect()] == ["C2"]

@@ -4,8 +4,10 @@ reference's saved enrichment tables and pair printout)."""
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.operators import enrich as en
+from cohortlens.functions import stats as st
 from cohortlens.operators import pairs as pr
 
 # Code, prevalence_positive, prevalence_negative, prevalence_difference,
@@ -83,7 +85,35 @@ def test_pair_statistics_match_published(spark):
 
 
 def test_fisher_small_table():
-    from cohortlens.functions.stats import _fisher_two_sided
+    from cohortlens.functions.stats import _ln_fisher
     # classic tea-tasting table [[3, 1], [1, 3]]: two-sided p = 34/70
-    assert _fisher_two_sided(3, 1, 1, 3) == pytest.approx(34 / 70, rel=1e-12)
-    assert _fisher_two_sided(0, 5, 5, 0) == pytest.approx(2 / 252, rel=1e-12)
+    assert math.exp(_ln_fisher(3, 1, 1, 3)) == pytest.approx(34 / 70, rel=1e-12)
+    assert math.exp(_ln_fisher(0, 5, 5, 0)) == pytest.approx(2 / 252, rel=1e-12)
+
+
+def _plain_ln_fisher(a, b, c, d):
+    """Every table of the support, as rationals."""
+    import math
+    from fractions import Fraction
+    r1, c1, n = a + b, a + c, a + b + c + d
+    p = {k: Fraction(math.comb(r1, k) * math.comb(n - r1, c1 - k), math.comb(n, c1)) for k in range(max(0, r1 + c1 - n), min(r1, c1) + 1)}
+    return math.log(sum(v for v in p.values() if v <= p[a] * Fraction(10000001, 10000000)))
+
+
+def test_fisher_against_every_table():
+    import random
+    rng = random.Random(8)
+    for _ in range(400):
+        cells = [rng.randint(0, rng.choice((3, 12, 60))) for _ in range(4)]
+        assert st._ln_fisher(*cells) == pytest.approx(_plain_ln_fisher(*cells), rel=1e-9, abs=1e-11), cells
+
+
+def test_fisher_large_margins_and_ranking(spark):
+    """Margins of 1e7 take a short sum; p far below the smallest double keeps its order by ln p."""
+    from cohortlens.operators import pairs as pr
+    assert st._ln_fisher(10_000_000, 0, 0, 10_000_000) < -1e7
+    rows = [("a", "z", 3000, 10, 10, 3000), ("b", "y", 3100, 10, 10, 3100), ("c", "x", 5, 5, 5, 5)]
+    table = spark.createDataFrame(rows, "code1 string, code2 string, tp long, fp long, fn long, tn long")
+    stats = pr.pair_statistics(table)
+    assert [r.code1 for r in stats.orderBy("ln_p").collect()] == ["b", "a", "c"]
+    assert {r.code1 for r in pr.select_pairs(stats.where("code1 <> 'c'").withColumn("PPV", F.lit(0.0)), 1).collect()} == {"b"}
