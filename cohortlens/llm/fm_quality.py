@@ -8,8 +8,8 @@ line and repetition statistics, lengths.  The score of a document is
 
 linear in the number of features.  Labels are learnt from a sample of at most
 ``TRAIN_ROWS`` labelled rows outside the held-out fold, those with the
-smallest hash of their id, so a run repeats exactly; every document's whole
-text is scored.  Labels, language, source and ids are never features.
+smallest hash of their id, so a run repeats exactly; one task fits them and the
+driver sees the model only.  Every document's whole text is scored.  Labels, language, source and ids are never features.
 
 Null texts count as empty; an empty text has its statistics' bins only.
 Without training rows of both classes the score is the share of label 1
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from cohortlens.llm import storage, textkit
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 WORD_SLOTS = 1 << 15
 FACTORS = 8
 BINS = 12
@@ -140,6 +140,12 @@ class FactorisationMachine:
         lin, _, _, pair = self._sums(idx, val, at)
         return 1 / (1 + np.exp(-np.clip(self.b + lin + pair, -30, 30)))
 
+    @classmethod
+    def constant(cls, share: float):
+        """Scores every text with ``share``."""
+        b = float(np.clip(np.log(max(share, 1e-12) / max(1 - share, 1e-12)), -30, 30))
+        return cls(b, np.zeros(SLOTS, np.float32), np.zeros((SLOTS, FACTORS), np.float32))
+
     @classmethod
     def fit(cls, idx, val, at, y, epochs: int = 8, rows: int = 128, rate: float = 0.15, l2: float = 2e-5, seed: int = 7):
         """AdaGrad on the logistic loss over mini-batches."""
@@ -199,17 +205,28 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
                      pa.ListArray.from_arrays(at32, pa.array(idx.astype(np.int32))),
                      pa.ListArray.from_arrays(at32, pa.array(val.astype(np.float32)))], names=["id", "y", "idx", "val"])
 
-    got = sample.mapInArrow(run, "id string, y int, idx array<int>, val array<float>").toArrow().sort_by(
-        [("id", "ascending"), ("y", "ascending")])
-    y = got["y"].to_numpy().astype(float)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.5
-        b = float(np.clip(np.log(max(share, 1e-12) / max(1 - share, 1e-12)), -30, 30))
-        return FactorisationMachine(b, np.zeros(SLOTS, np.float32), np.zeros((SLOTS, FACTORS), np.float32))
-    idx, val = got["idx"].combine_chunks(), got["val"].combine_chunks()
-    at = np.concatenate([[0], np.cumsum(np.diff(idx.offsets.to_numpy()))]).astype(np.int64)
-    m = FactorisationMachine.fit(idx.flatten().to_numpy().astype(np.int64), val.flatten().to_numpy().astype(np.float64), at, y)
-    return FactorisationMachine(m.b, m.w.astype(np.float32), m.v.astype(np.float32))
+    def fit(batches):
+        """One task on the bounded sample, sorted so that a run repeats exactly."""
+        ys, idx, val, size = [np.zeros(0)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [np.zeros(0, np.int64)]
+        for b in batches:
+            ys.append(np.asarray(b.column(1)).astype(float))
+            idx.append(np.asarray(b.column(2).flatten()))
+            val.append(np.asarray(b.column(3).flatten()))
+            size.append(np.diff(np.asarray(b.column(2).offsets)).astype(np.int64))
+        y = np.concatenate(ys)
+        if not len(y) or y.min() == y.max():
+            m = FactorisationMachine.constant(float(y.mean()) if len(y) else 0.5)
+        else:
+            at = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+            m = FactorisationMachine.fit(np.concatenate(idx), np.concatenate(val), at, y)
+        yield pa.RecordBatch.from_pydict({"b": [float(m.b)], "w": [m.w.astype(np.float32).tobytes()],
+                                          "v": [m.v.astype(np.float32).tobytes()]})
+
+    rows = sample.mapInArrow(run, "id string, y int, idx array<int>, val array<float>")
+    got = rows.repartition(1).sortWithinPartitions("id", "y").mapInArrow(fit, "b double, w binary, v binary").collect()
+    if not got:
+        return FactorisationMachine.constant(0.5)
+    return FactorisationMachine(got[0].b, np.frombuffer(got[0].w, np.float32), np.frombuffer(got[0].v, np.float32).reshape(SLOTS, FACTORS))
 
 
 def score(docs: DataFrame, model: FactorisationMachine, text_col: str = "text") -> DataFrame:
