@@ -115,19 +115,19 @@ def order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.array_sort(F.collect_set("p_type")).alias(S.HCPCS)))
 
 
-def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """Code-slot arrays for the given claims: line items are first semi-joined
-    to the claim ids of ``ids`` (default: ``claims``; a superset such as the
-    date-filtered orders avoids evaluating ``claims`` twice), then joined to
-    part and grouped per order.  The semi-join keeps line items on the
-    streamed side, so AQE can split an order with very many lines."""
-    ids = (claims if ids is None else ids).select(F.col(S.CLAIM).alias("l_orderkey")).distinct()
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(ids, "l_orderkey", "left_semi")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    codes = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_set("p_brand")).alias(S.ICD),
-                  F.array_sort(F.collect_set("p_type")).alias(S.HCPCS)))
-    return claims.join(codes, claims[S.CLAIM] == codes["l_orderkey"], "left").drop("l_orderkey")
+def attach_codes(spark: SparkSession, sf_dir: str, claims: DataFrame) -> DataFrame:
+    """Code-slot arrays for the given claims (NULL where an order has no lines):
+    claims to line items to parts by left joins, then one row per claim again.
+    ``claims`` is evaluated once, and the line items are the streamed side of
+    a join AQE can split."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("_ok"), F.col("l_partkey").alias("_pk"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_p"), "p_brand", "p_type")
+    lines = claims.join(li, F.col(S.CLAIM) == F.col("_ok"), "left").join(p, F.col("_pk") == F.col("_p"), "left")
+
+    def codes(c):
+        return F.when(F.count("_p") > 0, F.array_sort(F.collect_set(c)))
+
+    return lines.groupBy(*claims.columns).agg(codes("p_brand").alias(S.ICD), codes("p_type").alias(S.HCPCS))
 
 
 def orders_with_brand(spark: SparkSession, sf_dir: str, brand: str) -> DataFrame:
