@@ -24,7 +24,7 @@ _CUT = ("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u017f
         "|[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u017f0-9\xb2\xb3\xb9\xbc-\xbe]+")
 _FIND = re.compile(_CUT).findall
 _FIXED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the tokenizer file's
-TABLE_WORDS = 500_000
+TABLE_WORDS = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -119,8 +119,9 @@ class LibraryEncoder(TextEncoder):
 
 
 def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
-    """One encoder for all tasks of a Python worker."""
+    """One encoder for all tasks of a Python worker; another kind or lexicon takes its place."""
     cache, key = process_cache(), (kind.__name__, hash(tokenizer_json), *args)
-    if key not in cache:
-        cache[key] = kind(tokenizer_json, *args)
-    return cache[key]
+    if cache.get("encoder_key") != key:
+        cache.pop("encoder", None)
+        cache["encoder"], cache["encoder_key"] = kind(tokenizer_json, *args), key
+    return cache["encoder"]
