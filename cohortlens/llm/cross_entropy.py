@@ -1,7 +1,7 @@
 """Cross-entropy difference of a target and a background bigram model (operator 6).
 
-Both models share one vocabulary (the ``VOCABULARY`` most frequent words of
-both corpora, the rest is one unknown word) and one form:
+Both models share one vocabulary, every distinct word of both corpora (V
+counts the boundary and one unseen word besides), and one form:
 
     p(w | h) = L c(h, w) / c(h) + (1 - L) (c(w) + A) / (N + A V)
 
@@ -12,8 +12,12 @@ the target's loss less the background's, per token: low means target-like.
 All counts are exact and over whole corpora.  Pairs of the ``HEAD`` most
 frequent words are counted in fixed arrays and scored where the text is read,
 so no pair that any corpus makes hot is shuffled by key; the other pairs go,
-packed, to buckets whose number follows the corpus, and there a pair's
-occurrences are counted and scored in one visit.  What a bucket has found for
+packed, to buckets whose number follows the corpus: that of the history's hash,
+or of the word's where the history is a head word.  So a bucket sees all pairs
+that begin with its own words, which are these words' counts; the counts of
+other buckets' words come by a join with the staged word counts, packed by pair
+of buckets.  There a pair's occurrences are counted and scored in one visit.
+What a bucket has found for
 the documents of one piece of input goes back as one packed row, so rows
 follow pieces and buckets, not their documents; these sums travel as 32-bit
 floats, which keeps seven digits.
@@ -33,7 +37,6 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
 
-VOCABULARY = 1 << 17
 HEAD = 1 << 10
 LAMBDA, ALPHA = 0.6, 0.5
 BUCKET_PAIRS = 3_000_000
@@ -85,8 +88,8 @@ def word_counts(both: DataFrame) -> DataFrame:
         F.sum("back").alias("back"), F.sum("target").alias("target"))
 
 
-def _vocabulary(counts: DataFrame, size: int):
-    """Ids 0 (boundary) and 1 (unknown), then words by falling count; at most ``size`` words reach the driver."""
+def _head_words(counts: DataFrame, size: int):
+    """At most ``size`` words by falling count, with their counts; words of about equal count come together or not at all."""
     n = F.col("back") + F.col("target")
     step = F.floor(F.log(n.cast("double")) * 32).alias("step")
     room, least = size, None
@@ -100,43 +103,43 @@ def _vocabulary(counts: DataFrame, size: int):
     return word[order], back[order].astype(np.int64), target[order].astype(np.int64)
 
 
-class Vocabulary:
-    """Word ids of texts, from sorted hashes."""
+class Head:
+    """Ids of the head words, from sorted hashes: 0 is the boundary, -1 any other word."""
 
     def __init__(self, words: np.ndarray):
         order = np.argsort(words)
-        self.sorted, self.ids = words[order], (order + 2).astype(np.int64)
+        self.sorted, self.ids = words[order], (order + 1).astype(np.int64)
 
     def pairs(self, words: np.ndarray, at: np.ndarray):
-        """(history, word, offsets): each text's words and its end; texts without words have none."""
+        """(history, word, offsets), ids above hashes: each text's words and its end; texts without words have none."""
         h = textkit.signed(words)
-        ids = np.ones(len(h), np.int64)
+        ids = np.full(len(h), -1, np.int64)
         if len(self.sorted):
             place = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-            ids = np.where(self.sorted[place] == h, self.ids[place], 1)
+            ids = np.where(self.sorted[place] == h, self.ids[place], -1)
         n = np.diff(at)
         tokens = n + (n > 0)
         off = np.concatenate([[0], np.cumsum(tokens)])
-        word = np.zeros(off[-1], np.int64)
-        history = np.zeros(off[-1], np.int64)
+        word = np.zeros((2, off[-1]), np.int64)
+        history = np.zeros((2, off[-1]), np.int64)
         slot = np.arange(len(ids)) + np.repeat(off[:-1] - at[:-1], n)
-        word[slot] = ids
-        history[slot + 1] = ids
+        word[:, slot] = ids, h
+        history[:, slot + 1] = ids, h
         return history, word, off
 
 
-def _head_counts(both: DataFrame, vocabulary, head: int) -> np.ndarray:
+def _head_counts(both: DataFrame, head_words, head: int) -> np.ndarray:
     """(2, head * head) exact pair counts of both corpora; the size is fixed."""
     cells = head * head
 
     def run(batches):
-        voc = Vocabulary(vocabulary.value)
+        head_of = Head(head_words.value)
         total = np.zeros((2, cells), np.int64)
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
-                history, word, off = voc.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
+                (history, _), (word, _), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
                 target = np.repeat(np.asarray(part.column(0)) == _TARGET, np.diff(off))
-                inside = (history < head) & (word < head)
+                inside = (history >= 0) & (word >= 0)
                 key = history * head + word
                 total[0] += np.bincount(key[inside & ~target], minlength=cells)
                 total[1] += np.bincount(key[inside & target], minlength=cells)
@@ -161,55 +164,85 @@ def _head_counts(both: DataFrame, vocabulary, head: int) -> np.ndarray:
     return flat.reshape(2, cells)
 
 
-def _losses(pair: np.ndarray, history: np.ndarray, word: np.ndarray, single: np.ndarray, total: int) -> np.ndarray:
-    """-log p of one model: pair counts, count of the history, smoothed count of the word; ``single`` by id."""
+def _losses(pair: np.ndarray, history: np.ndarray, word: np.ndarray, single: np.ndarray, total: int, size: int) -> np.ndarray:
+    """-log p of one model of ``size`` words: pair counts, count of the history, smoothed count of the word; ``single`` by id."""
     c = np.maximum(single[history], 1)
-    return -np.log(LAMBDA * pair / c + (1 - LAMBDA) * (single[word] + ALPHA) / (total + ALPHA * len(single)))
+    return -np.log(LAMBDA * pair / c + (1 - LAMBDA) * (single[word] + ALPHA) / (total + ALPHA * size))
+
+
+def _cut(bucket: np.ndarray, buckets: int):
+    """(order, [(bucket, slice)]): a stable order by bucket and where each bucket lies in it."""
+    order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return order, [(b, slice(cut[b], cut[b + 1])) for b in np.flatnonzero(np.diff(cut)).tolist()]
+
+
+_NAMES = ["piece", "bucket", "kinds", "rows", "counts", "data", "words"]
+_KINDS = (pa.int64(), pa.int32(), *[pa.binary()] * 5)
+_PACKED = "piece long, bucket int, kinds binary, rows binary, counts binary, data binary, words binary"
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """An array's bytes, all first ones, all second ones and so on, compressed."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueeze(data: bytes, kind) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
+
+
+def _squeeze_sorted(values: np.ndarray) -> bytes:
+    return _squeeze(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _unsqueeze_sorted(data: bytes, kind) -> np.ndarray:
+    return np.cumsum(_unsqueeze(data, kind), dtype=kind)
+
+
+def _batch(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
 
 
 def _scored(both: DataFrame, shared, head: int, buckets: int) -> DataFrame:
     """Packed rows by piece of input: with bucket -1 its documents, their tokens and losses of head pairs; else its
-    other pairs of that bucket, with the rows they come from."""
+    other pairs of that bucket, with the rows they come from: the hashes of their words without the head's, and of each
+    pair the codes of history and word, which are head ids or ``head`` + the place among these hashes."""
     def run(batches):
         from pyspark import TaskContext
-        words, single, head_pairs = shared.value
-        voc, size = Vocabulary(words), single.shape[1]
-        totals, piece = single.sum(1), TaskContext.get().partitionId() << 32
+        words, single, head_pairs, totals, size = shared.value
+        head_of, piece = Head(words), TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
                 piece += 1
                 kind, doc = np.asarray(part.column(0)).astype(np.uint8), np.asarray(part.column(1))
-                history, word, off = voc.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
+                (history, past), (word, now), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
                 n = np.diff(off)
                 row = np.repeat(np.arange(len(kind)), n)
-                inside = (history < head) & (word < head)
+                inside = (history >= 0) & (word >= 0)
                 own = inside & (kind[row] == _BACK)
                 at = history[own] * head + word[own]
-                loss = [np.bincount(row[own], _losses(head_pairs[m][at], history[own], word[own], single[m], totals[m]),
+                loss = [np.bincount(row[own], _losses(head_pairs[m][at], history[own], word[own], single[m], totals[m], size),
                                     len(kind)).astype(float) for m in (0, 1)]
                 out = [(piece, -1, kind.tobytes(), doc.astype(np.int64).tobytes(), n.astype(np.int64).tobytes(),
-                        np.stack(loss).tobytes())]
+                        np.stack(loss).tobytes(), None)]
                 rest = np.flatnonzero(~inside)
-                key = history[rest] * size + word[rest]
-                bucket = key % buckets
-                order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
-                rest, key, bucket = rest[order], key[order], bucket[order]
-                cut = np.searchsorted(bucket, np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(cut)).tolist():
-                    s = slice(cut[b], cut[b + 1])
-                    rows, m = np.unique(row[rest[s]], return_counts=True)  # in order of rows, as the sort was stable
-                    out.append((piece, b, kind[rows].tobytes(), rows.astype(np.uint32).tobytes(), m.astype(np.uint32).tobytes(),
-                                (key[s] // buckets).astype(_width(size, buckets)).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-
-    names = ["piece", "bucket", "kinds", "rows", "counts", "data"]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-    return both.mapInArrow(run, "piece long, bucket int, kinds binary, rows binary, counts binary, data binary")
-
-
-def _width(size: int, buckets: int):
-    """Type that holds a pair's quotient by the number of buckets."""
-    return np.uint32 if size * size // buckets < 1 << 32 else np.int64
+                order, cut = _cut(np.mod(np.where(history[rest] < 0, past[rest], now[rest]), buckets), buckets)
+                rest = rest[order]
+                for b, s in cut:
+                    mine = rest[s]
+                    rows, m = np.unique(row[mine], return_counts=True)  # in order of rows, as the sort was stable
+                    ids = np.concatenate([history[mine], word[mine]])
+                    other = ids < 0
+                    names, place = np.unique(np.concatenate([past[mine], now[mine]])[other], return_inverse=True)
+                    ids[other] = head + place
+                    out.append((piece, b, _squeeze(kind[rows]), _squeeze_sorted(rows.astype(np.uint32)), _squeeze(m.astype(np.uint32)),
+                                _squeeze(ids.astype(np.uint32)), _squeeze_sorted(names)))
+                yield _batch(out)
+
+    return both.mapInArrow(run, _PACKED)
 
 
 def _groups(batches, key: str):
@@ -227,38 +260,110 @@ def _groups(batches, key: str):
         yield now, held
 
 
-def _bucket_losses(packed: DataFrame, shared, buckets: int) -> DataFrame:
+def _other_counts(packed: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Counts of the words that a bucket's pairs end with and another bucket owns: one row for the two buckets, with
+    piece -1 - owner and the counts in order of the hashes."""
+    def pack(batches):
+        held: list = []
+
+        def rows():
+            word, back, target = (np.concatenate(x) for x in zip(*held))
+            order, cut = _cut(np.mod(word, buckets), buckets)
+            word, count = word[order], np.stack([back, target])[:, order]
+            return _batch([(-1, b, None, None, _squeeze(count[:, s].ravel()), None, _squeeze(word[s])) for b, s in cut])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append([batch.column(c).to_numpy() for c in ("word", "back", "target")])
+            if sum(len(h[0]) for h in held) >= 1 << 20:
+                yield rows()
+                held = []
+        if held:
+            yield rows()
+
+    def foreign(batches):
+        for batch in batches:
+            out = []
+            for bucket, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                w = _unsqueeze_sorted(words, np.int64)
+                w = w[np.mod(w, buckets) != bucket]
+                if len(w):
+                    out.append((bucket, _squeeze_sorted(w)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.binary()))], names=["bucket", "words"])
+
+    def ask(batches):
+        for asker, held in _groups(batches, "bucket"):
+            word = np.unique(np.concatenate([_unsqueeze_sorted(h[1], np.int64) for h in held]))
+            order, cut = _cut(np.mod(word, buckets), buckets)
+            yield _batch([(asker, owner, None, None, None, None, _squeeze(word[order[s]])) for owner, s in cut])
+
+    def answer(batches):
+        for owner, held in _groups(batches, "bucket"):
+            own = [h for h in held if h[0] < 0]
+            word = np.concatenate([_unsqueeze(h[6], np.int64) for h in own])
+            count = np.concatenate([_unsqueeze(h[4], np.int64).reshape(2, -1) for h in own], 1)
+            order = np.argsort(word)
+            word, count = word[order], count[:, order]
+            for h in held:
+                if h[0] >= 0:
+                    at = np.searchsorted(word, _unsqueeze(h[6], np.int64))
+                    yield _batch([(-1 - owner, h[0], None, None, _squeeze(count[:, at].ravel()), None, None)])
+
+    asked = packed.select("bucket", "words").mapInArrow(foreign, "bucket int, words binary").repartition(
+        "bucket").sortWithinPartitions("bucket").mapInArrow(ask, _PACKED)
+    return asked.unionByName(counts.mapInArrow(pack, _PACKED)).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        answer, _PACKED)
+
+
+def _bucket_losses(packed: DataFrame, others: DataFrame, shared, head: int, buckets: int) -> DataFrame:
     """Count and score the pairs of each bucket; one row for each piece it has pairs of."""
     def run(batches):
-        _, single, _ = shared.value
-        size, totals = single.shape[1], single.sum(1)
-        for bucket, held in _groups(batches, "bucket"):
-            kind = [np.frombuffer(h[2], np.uint8) for h in held]
-            m = [np.frombuffer(h[4], np.uint32).astype(np.int64) for h in held]
-            keys, inv = np.unique(np.frombuffer(b"".join(h[5] for h in held), _width(size, buckets)), return_inverse=True)
+        _, head_single, _, totals, size = shared.value
+        for bucket, rows in _groups(batches, "bucket"):
+            held = [h for h in rows if h[0] >= 0]
+            kind = [_unsqueeze(h[2], np.uint8) for h in held]
+            m = [_unsqueeze(h[4], np.uint32) for h in held]
+            names = [_unsqueeze_sorted(h[6], np.int64) for h in held]
+            words, place = np.unique(np.concatenate(names), return_inverse=True)
             counts = np.concatenate(m)
+            history, word = np.empty((2, int(counts.sum())), np.int32)
+            at = to = 0
+            for h, w in zip(held, names):
+                code = np.concatenate([np.arange(head), head + place[at:at + len(w)]])[_unsqueeze(h[5], np.uint32)].reshape(2, -1)
+                history[to:to + code.shape[1]], word[to:to + code.shape[1]] = code
+                at, to = at + len(w), to + code.shape[1]
+            del names, place
             target = np.repeat(np.concatenate(kind) == _TARGET, counts)
+            n = head + len(words)
+            single = np.stack([np.bincount(history[~target], minlength=n), np.bincount(history[target], minlength=n)])
+            single[:, :head] = head_single
+            owner = np.mod(words, buckets)
+            for h in rows:
+                if h[0] < 0:
+                    single[:, head + np.flatnonzero(owner == -1 - h[0])] = _unsqueeze(h[4], np.int64).reshape(2, -1)
+            key = history * np.int64(n) + word
+            del history, word
+            keys, inv = np.unique(key, return_inverse=True)
+            del key
             count_t = np.bincount(inv, target, len(keys))
             count_b = np.bincount(inv, minlength=len(keys)) - count_t
-            full = keys.astype(np.int64) * buckets + bucket
             row = np.repeat(np.arange(len(counts)), counts)
-            loss = [np.bincount(row, _losses(c, full // size, full % size, single[k], totals[k])[inv], len(counts))
+            first, second = np.divmod(keys, n)
+            loss = [np.bincount(row, _losses(c, first, second, single[k], totals[k], size)[inv], len(counts))
                     for k, c in ((0, count_b), (1, count_t))]
             out, at = [], 0
             for h, k in zip(held, kind):
                 ok = k == _BACK
                 if ok.any():
                     mine = [x[at:at + len(k)][ok] for x in loss]
-                    out.append((h[0], bucket, None, np.frombuffer(h[3], np.uint32)[ok].tobytes(), None,
-                                np.stack(mine).astype(np.float32).tobytes()))
+                    out.append((h[0], bucket, None, _unsqueeze_sorted(h[3], np.uint32)[ok].tobytes(), None,
+                                np.stack(mine).astype(np.float32).tobytes(), None))
                 at += len(k)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield _batch(out)
 
-    names = ["piece", "bucket", "kinds", "rows", "counts", "data"]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        run, "piece long, bucket int, kinds binary, rows binary, counts binary, data binary")
+    return packed.unionByName(others).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _PACKED)
 
 
 def _by_document(packed: DataFrame) -> DataFrame:
@@ -279,26 +384,23 @@ def _by_document(packed: DataFrame) -> DataFrame:
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
-                             target_text: str = "text", vocabulary: int = VOCABULARY, head: int = HEAD,
-                             bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
+                             target_text: str = "text", head: int = HEAD, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
     """Per document id: n_tokens, target_loss, background_loss and score, the difference per token."""
     spark = docs.sparkSession
     both = _both(docs, target, id_col, text_col, target_text)
     counts = storage.stage(word_counts(both), folder, "words")
-    words, back, of_target = _vocabulary(counts, vocabulary)
-    sums = counts.agg(F.sum("back"), F.sum("target")).first()
-    all_words = [int(sums[0] or 0), int(sums[1] or 0)]
+    words, back, of_target = _head_words(counts, head - 1)
+    sums = counts.agg(F.sum("back"), F.sum("target"), F.count(F.lit(1))).first()
     filled = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     ends = {r.t: r.m for r in both.where(filled).groupBy((F.col("kind") == _TARGET).alias("t")).agg(F.count(F.lit(1)).alias("m")).collect()}
-    single = np.stack([np.concatenate([[ends.get(bool(m), 0), all_words[m] - int(c.sum())], c])
-                       for m, c in ((0, back), (1, of_target))]).astype(np.int64)
-    head = min(head, single.shape[1])
+    single = np.stack([np.concatenate([[ends.get(bool(m), 0)], c]) for m, c in ((0, back), (1, of_target))]).astype(np.int64)
+    totals, head = [int(sums[m] or 0) + ends.get(bool(m), 0) for m in (0, 1)], single.shape[1]
     head_pairs = _head_counts(both, spark.sparkContext.broadcast(words), head)
-    rest = int(sum(all_words)) + sum(ends.values()) - int(head_pairs.sum())
-    buckets = max(1, -(-rest // bucket_pairs))
-    shared = spark.sparkContext.broadcast((words, single, head_pairs))
+    buckets = max(1, -(-(sum(totals) - int(head_pairs.sum())) // bucket_pairs))
+    shared = spark.sparkContext.broadcast((words, single, head_pairs, totals, sums[2] + 2))
     parts = storage.stage(_scored(both, shared, head, buckets), folder, "pairs")
-    found = parts.where("bucket < 0").unionByName(_bucket_losses(parts.where("bucket >= 0"), shared, buckets))
+    rest = parts.where("bucket >= 0")
+    found = parts.where("bucket < 0").unionByName(_bucket_losses(rest, _other_counts(rest, counts, buckets), shared, head, buckets))
     summed = _by_document(found).groupBy("doc_id").agg(
         F.sum("tokens").alias("n_tokens"), F.sum("target_loss").alias("target_loss"), F.sum("background_loss").alias("background_loss"))
     return summed.withColumn("score", F.when(F.col("n_tokens") > 0, (F.col("target_loss") - F.col("background_loss")) / F.col("n_tokens"))

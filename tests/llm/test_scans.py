@@ -129,6 +129,23 @@ def test_op6_small(spark, kw):
             assert got[i].score == pytest.approx((lt - lb) / n if n else 0)
 
 
+@pytest.mark.parametrize("kw", [{}, {"head": 64, "bucket_pairs": 50_000}])
+def test_op6_every_word_has_its_own_count(spark, kw):
+    """More distinct words than any fixed vocabulary of 2^17; words seen twice differ from those seen once."""
+    n = 140_000
+    docs = [(i, " ".join(f"w{j}" for j in range(i * 1000, i * 1000 + 1000))) for i in range(n // 1000)]
+    docs += [(1000, "w5 w7 w139999"), (1001, "w5 w6 z1")]
+    target = [(0, "w7 w139999 z1 z2"), (1, "w139999 w139998")]
+    got = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(target, "id long, text string"),
+        storage.work_folder(spark, "t"), **kw).collect()}
+    want = _losses(docs, [t for _, t in target])
+    assert set(got) == set(want)
+    for i, (tokens, lt, lb) in want.items():
+        assert (got[i].n_tokens, got[i].target_loss, got[i].background_loss) == (tokens, pytest.approx(lt), pytest.approx(lb))
+    assert got[1000].score < got[1001].score
+
+
 def test_op6_query(spark):
     rows = registry.QUERIES["op6_cross_entropy"](spark, SF).collect()
     docs, target = pd.read_parquet(f"{SF}/documents.parquet"), pd.read_parquet(f"{SF}/conversations.parquet")
