@@ -58,14 +58,31 @@ def _with_totals(per_code: DataFrame, pos: str, neg: str) -> DataFrame:
     return (per_code.withColumn("n_pos", total(pos)).withColumn("n_neg", total(neg)).where(F.col(CODE).isNotNull()))
 
 
-def pivot_wide(long: DataFrame, codes, value: str = "presence", person: str = S.PERSON,
+def code_levels(long: DataFrame, first=()) -> list[str]:
+    """The codes of ``first``, then every other code of ``long`` in order; more
+    than Spark's bound on pivot columns is an error, nothing is dropped."""
+    first = list(first)
+    most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    rows = long.select(CODE).where(F.col(CODE).isNotNull()).distinct().limit(most + 1).collect()
+    levels = first + sorted({r[0] for r in rows} - set(first))
+    if len(levels) > most:
+        raise ValueError(f"more than {most} codes to pivot; keep them long or raise spark.sql.pivotMaxValues")
+    return levels
+
+
+def pivot_wide(long: DataFrame, codes=None, value: str = "presence", person: str = S.PERSON,
                label: str = S.LABEL) -> DataFrame:
     """Long (person, class, code) rows to one column per code, absent = 0.
     ``value`` 'presence' takes the max of 1, 'frequency' counts occurrences.
-    The code list is explicit, so no distinct pass runs to find the columns."""
-    g = long.groupBy(person, label).pivot(CODE, list(codes))
+    Without ``codes`` all codes found get a column, at the price of a distinct
+    pass; an explicit list saves the pass and leaves other codes out."""
+    codes = code_levels(long) if codes is None else list(codes)
+    if not codes:
+        return long.select(person, label).distinct()
+    g = long.groupBy(person, label).pivot(CODE, codes)
     out = g.agg(F.max(F.lit(1))) if value == "presence" else g.agg(F.count(F.lit(1)))
-    return out.fillna(0, subset=list(codes))
+    cells = [(c, F.col("`" + c.replace("`", "``") + "`")) for c in codes]
+    return out.select(person, label, *[F.coalesce(x, F.lit(0)).alias(c) for c, x in cells])
 
 
 def class_means(long: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -> DataFrame:

@@ -42,13 +42,16 @@ _FRQ = ", ".join(f"count(CASE WHEN code = '{c}' THEN 1 END) AS \"{c}\"" for c in
 @register("A13_pivot_presence", f"""WITH {W}, {LONG}
 SELECT person_id, case_ind, {_PIV} FROM l WHERE code IS NOT NULL GROUP BY person_id, case_ind""")
 def a13_pivot_presence(spark, sf_dir):
-    return en.pivot_wide(_long(spark, sf_dir), P.ICD_CODES, "presence")
+    """The known codes' columns, then those of any other code of the window."""
+    long = _long(spark, sf_dir)
+    return en.pivot_wide(long, en.code_levels(long, P.ICD_CODES), "presence")
 
 
 @register("A13_pivot_frequency", f"""WITH {W}, {LONG}
 SELECT person_id, case_ind, {_FRQ} FROM l WHERE code IS NOT NULL GROUP BY person_id, case_ind""")
 def a13_pivot_frequency(spark, sf_dir):
-    return en.pivot_wide(_long(spark, sf_dir), P.ICD_CODES, "frequency")
+    long = _long(spark, sf_dir)
+    return en.pivot_wide(long, en.code_levels(long, P.ICD_CODES), "frequency")
 
 
 @register("A12_presence", f"WITH {W}, {LONG}, {PRES} SELECT * FROM p")

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlens.operators import enrich as en
 from cohortlens.operators import evaluate as ev
 from cohortlens.operators import pairs as pr
 from cohortlens.operators import prepare as pp
@@ -100,3 +101,22 @@ def test_summary_approx_close_to_exact(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
     ex, ap = pf.numeric_summary(df, "x").first(), pf.numeric_summary(df, "x", approx=True).first()
     assert ex.q50 == 500.0 and abs(ap.q50 - 500.0) <= 1.0 and ex["count"] == ap["count"] == 1001
+
+
+@pytest.mark.parametrize("value,twice", [("presence", 1), ("frequency", 2)])
+def test_pivot_keeps_every_code(spark, value, twice):
+    long = spark.createDataFrame([(1, 1, "A"), (1, 1, "250.00"), (1, 1, "250.00"), (2, 0, "Z`9"), (3, 0, None)],
+                                 "person_id int, case_ind int, code string")
+    wide = en.pivot_wide(long, value=value)
+    assert wide.columns == ["person_id", "case_ind", "250.00", "A", "Z`9"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 1, twice, 1, 0), (2, 0, 0, 0, 1), (3, 0, 0, 0, 0)]
+    assert en.code_levels(long, ["B", "A"]) == ["B", "A", "250.00", "Z`9"]
+    assert en.pivot_wide(long.limit(0)).columns == ["person_id", "case_ind"]
+
+
+def test_a13_queries_keep_codes_outside_the_list(spark, monkeypatch):
+    from cohortlens.plans import params, q_enrich
+    want = set(q_enrich.a13_pivot_presence(spark, "/root/testdata/sf0.001").columns)
+    monkeypatch.setattr(params, "ICD_CODES", params.ICD_CODES[:3])
+    got = q_enrich.a13_pivot_presence(spark, "/root/testdata/sf0.001").columns
+    assert len(got) > 5 and set(got) <= want
