@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, quote_links, secret_dfa, storage, token_files
+from cohortlens.llm import arc_warc, block_whitening, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, quote_links, secret_dfa, storage, token_files, treap_search
 from cohortlens.llm.registry import register
 
 
@@ -100,3 +100,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.work_folder(spark, "op10")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, _word_bpe(), end_id=1)
     return token_files.token_digests(spark, folder)
+
+
+@register("op12_block_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_whitening.whiten(_table(spark, sf_dir, "embeddings"), storage.work_folder(spark, "op12"), k=4)
+
+
+# Every document's terms against every item's, by the formula.
+_OP13_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+c AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@register("op13_treap_search", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), storage.work_folder(spark, "op13"), k=20)
