@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import arc_warc, block_whitening, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, quote_links, secret_dfa, storage, token_files, treap_search
+from cohortlens.llm import arc_warc, block_whitening, bpe_lexicon, cgk_decontam, cross_entropy, fm_quality, ngram_join, pivot_index, quote_links, secret_dfa, storage, token_files, treap_search, wrapper_extract
 from cohortlens.llm.registry import register
 
 
@@ -102,6 +102,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, folder)
 
 
+@register("op11_wrapper_extract")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper_extract.extract(_table(spark, sf_dir, "pages"), storage.work_folder(spark, "op11"))
+
+
 @register("op12_block_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_whitening.whiten(_table(spark, sf_dir, "embeddings"), storage.work_folder(spark, "op12"), k=4)
