@@ -11,8 +11,9 @@ with the item's cells over it, bounded by the sum of weight x cell maximum.
 States with the highest bounds are opened first, all items of a block side by
 side, until no state can beat an item's k-th best document found so far.
 
-Index files (Parquet, one row a block) are written once below a folder of the
-shared store and answer any number of item sets.  Items come in sets of at
+Each block is one file below a folder of the shared store, and a table lists the
+files; they are written once and answer any number of item sets.  A task holds
+one block at a time.  Items come in sets of at
 most ``ITEM_WORDS`` words, each against the whole index; ``SIDE_BY_SIDE`` items
 descend together, which bounds the open states a task holds.
 
@@ -27,6 +28,7 @@ an empty result.  Extra columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 ITEM_WORDS = 200_000
 BEAM, SIDE_BY_SIDE = 32, 64
 NO_ID = np.iinfo(np.int64).max
@@ -43,7 +45,8 @@ _U = np.uint64
 _TERM = np.zeros(256, bool)
 _TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 RESULT = "item_id long, rank int, doc_id long, score long"
-INDEX = "doc_ids binary, terms binary, row_counts binary, shape binary, bits binary, maxima binary"
+PARTS = ("terms", "row_counts", "doc_ids", "shape", "bits", "maxima")
+BLOCKS_A_TASK = 8
 
 
 def term_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +180,7 @@ def corpus_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
 
 
 def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
-    """Write the index of every document below ``folder``; returns (its rows, documents with a term)."""
+    """Write the index of every document below ``folder``; returns (table of its files, documents with a term)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     n_docs, n_terms = corpus_size(docs)
 
@@ -205,16 +208,32 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
                 m = _measure(n[order], n_docs, n_terms)
                 impact = 1_000_000_000 * tf // (1000 * tf + 12 * m[doc])
                 packed = Treap.build(rank[row], doc, impact, len(terms), len(order)).pack()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], pa.binary()) for x in (ids[order].astype("<i8").tobytes(), terms[common].astype("<u8").tobytes(),
-                                                          df[common].astype("<u4").tobytes(), *packed)], names=names)
+                uri = f"{folder}/{uuid.uuid4().hex}.k2"  # a retried task writes other files; the table lists those that count
+                _write(uri, [terms[common].astype("<u8").tobytes(), df[common].astype("<u4").tobytes(), ids[order].astype("<i8").tobytes(), *packed])
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([len(order)])], names=["file", "docs"])
 
-    names = [c.split()[0] for c in INDEX.split(", ")]
-    return storage.stage(docs.mapInArrow(run, INDEX), folder, "index"), n_docs
+    storage.put_bytes(docs.sparkSession, f"{folder}/READ_ME", b"one .k2 file a block, listed in files")  # makes the folder
+    return storage.stage(docs.mapInArrow(run, "file string, docs long"), folder, "files"), n_docs
 
 
-def _column(batch: pa.RecordBatch, name: str, i: int) -> bytes:
-    return batch.column(batch.schema.get_field_index(name))[i].as_py()
+def _write(uri: str, parts: list[bytes]) -> None:
+    fs, path = storage.open_fs(uri)
+    with fs.open_output_stream(path) as out:
+        out.write(np.array([len(p) for p in parts], "<i8").tobytes())
+        for p in parts:
+            out.write(p)
+
+
+def _read(uri: str, parts: int) -> list[bytes]:
+    """The first ``parts`` of PARTS of a block's file."""
+    fs, path = storage.open_fs(uri)
+    with fs.open_input_file(path) as f:
+        sizes = np.frombuffer(f.read(8 * len(PARTS)), "<i8")
+        return [f.read(int(n)) for n in sizes[:parts]]
+
+
+def _spread(index: DataFrame) -> DataFrame:
+    return index.select("file").repartition(max(1, -(-index.count() // BLOCKS_A_TASK)))
 
 
 def document_frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -222,9 +241,9 @@ def document_frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
     def run(batches):
         total = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for i in range(batch.num_rows):
-                own = np.frombuffer(_column(batch, "terms", i), "<u8")
-                count = np.frombuffer(_column(batch, "row_counts", i), "<u4")
+            for uri in batch.column(0).to_pylist():
+                held = _read(uri, 2)
+                own, count = np.frombuffer(held[0], "<u8"), np.frombuffer(held[1], "<u4")
                 order = np.argsort(own)
                 at = np.minimum(np.searchsorted(own, terms, sorter=order), len(own) - 1)
                 row = order[at]
@@ -232,7 +251,7 @@ def document_frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["term", "df"])
 
-    got = index.select("terms", "row_counts").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    got = _spread(index).mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
     df = np.zeros(len(terms), np.int64)
     for r in got:  # one row a term of the item set
         df[r["term"]] = r["df"]
@@ -348,25 +367,26 @@ def search_index(index: DataFrame, items: Items, n_docs: int, k: int) -> DataFra
     def run(batches):
         best = Best(items.count, k)
         for batch in batches:
-            for i in range(batch.num_rows):
-                own = np.frombuffer(_column(batch, "terms", i), "<u8")
+            for uri in batch.column(0).to_pylist():
+                held = _read(uri, len(PARTS))
+                own, ids = np.frombuffer(held[0], "<u8"), np.frombuffer(held[2], "<i8")
                 order = np.argsort(own)
                 at = order[np.minimum(np.searchsorted(own, items.terms, sorter=order), len(own) - 1)]
                 row = np.where(own[at] == items.terms, at, -1)
-                treap = Treap.unpack(*(_column(batch, c, i) for c in ("shape", "bits", "maxima")))
+                treap = Treap.unpack(*held[3:])
                 if not treap.steps:  # one term in one document
                     hit = np.flatnonzero(row[items.term] >= 0)
                     best.add(items.item[hit], items.weight[hit] * treap.maxima[0][0],
-                             np.repeat(np.frombuffer(_column(batch, "doc_ids", i), "<i8"), len(hit)))
+                             np.repeat(ids, len(hit)))
                     continue
-                ids, entry_row = np.frombuffer(_column(batch, "doc_ids", i), "<i8"), row[items.term]
+                entry_row = row[items.term]
                 for g in range(0, items.count, SIDE_BY_SIDE):
                     descend(treap, ids, np.where(items.item // SIDE_BY_SIDE == g // SIDE_BY_SIDE, entry_row, -1), items, best)
         item, place = np.nonzero(best.score > 0)
         yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(best.doc[item, place]), pa.array(best.score[item, place])],
                                          names=["item", "doc_id", "score"])
 
-    return index.mapInArrow(run, "item long, doc_id long, score long")
+    return _spread(index).mapInArrow(run, "item long, doc_id long, score long")
 
 
 def _item_sets(items: DataFrame, words: int):
