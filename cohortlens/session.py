@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans are designed around.  AQE re-plans joins
 # with measured sizes (a runtime-checked broadcast), splits skewed join
@@ -68,11 +69,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; where
-    that is unset, a folder below the session's (shared) warehouse."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or \
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; where that is
+    unset, a folder below the session's (shared) warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set to ``shared_folder`` if unset."""
+    path = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a new folder of the shared store and read it
+    back: what is built on it evaluates ``df`` once and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
