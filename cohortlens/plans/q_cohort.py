@@ -11,6 +11,7 @@ from cohortlens.operators import features as fe
 from cohortlens.plans import params as P
 from cohortlens.plans.registry import register
 from cohortlens.plans.sql_common import claims_sql
+from cohortlens.session import written
 from cohortlens.sources import driver
 
 PAIRS = [("Brand#1", "Brand#2"), ("Brand#3", "Brand#7"), ("Brand#7", "Brand#12")]
@@ -53,18 +54,20 @@ def index_dates(spark, sf_dir):
                                  P.YEAR, P.CONTROL_START, P.CONTROL_END, P.SEED)
 
 
-def window_claims(spark, sf_dir, days=L, codes=True):
+def window_claims(spark, sf_dir, days=L, codes=True, index=None):
     """Claims in each person's lookback window; code slots are attached
     to these claims only."""
-    w = fe.lookback(index_dates(spark, sf_dir), cohort_claims(spark, sf_dir), days)
+    w = fe.lookback(index_dates(spark, sf_dir) if index is None else index, cohort_claims(spark, sf_dir), days)
     return driver.attach_codes(spark, sf_dir, w) if codes else w
 
 
 def features(spark, sf_dir, icd=tuple(P.ICD_CODES), hcpcs=tuple(P.HCPCS_CODES), pairs=tuple(PAIRS),
              demographics=True, days=L):
+    """Q6: the index dates (Q5) are written first, as the window and its base both read them."""
     demo = covered(spark, sf_dir).drop("coverage") if demographics else None
-    window = window_claims(spark, sf_dir, days, codes=bool(icd or hcpcs or pairs))
-    return fe.features_from_window(index_dates(spark, sf_dir), window, demo, days, icd, hcpcs, pairs)
+    index = written(index_dates(spark, sf_dir), "index_dates")
+    window = window_claims(spark, sf_dir, days, codes=bool(icd or hcpcs or pairs), index=index)
+    return fe.features_from_window(index, window, demo, days, icd, hcpcs, pairs)
 
 
 def dataset(spark, sf_dir):

@@ -9,24 +9,29 @@ from cohortlens.functions.stats import LN_TOL, log_factorial_sql
 from cohortlens.operators import features as fe
 from cohortlens.operators import pairs as pr
 from cohortlens.plans import params as P
-from cohortlens.plans.q_cohort import dataset, features_sql
+from cohortlens.plans.q_cohort import features, features_sql
 from cohortlens.plans.registry import register
 
 FLAGS = [f"icd9_{fe.code_token(c)}_{P.LOOKBACK_DAYS}d" for c in P.ICD_CODES]
 
 
 def flag_table(spark, sf_dir):
-    """Person-level diagnosis flags, read from the saved feature dataset (Q7)."""
-    return dataset(spark, sf_dir).select(S.PERSON, S.LABEL, S.INDEX_DATE, *FLAGS)
+    """Person-level diagnosis flags of the feature rows (evaluated once: the pair sums are written)."""
+    return features(spark, sf_dir, hcpcs=(), pairs=(), demographics=False).select(S.PERSON, S.LABEL, S.INDEX_DATE, *FLAGS)
+
+
+def sums(spark, sf_dir):
+    return pr.pair_sums(flag_table(spark, sf_dir), FLAGS)
 
 
 def counts(spark, sf_dir):
-    return pr.pair_counts(flag_table(spark, sf_dir), FLAGS)
+    return pr.counts_of(sums(spark, sf_dir), FLAGS)
 
 
 _POS = " UNION ALL ".join(f"SELECT '{f}' AS code, {i} AS pos" for i, f in enumerate(FLAGS))
 _LONG = " UNION ALL ".join(f"SELECT person_id, case_ind, '{f}' AS code, {f} AS v FROM ft" for f in FLAGS)
-COUNTS_SQL = f"""
+# ALL_SQL: every pair of flags; COUNTS_SQL: the pairs that some person has both of.
+ALL_SQL = f"""
 WITH ft AS ({features_sql(hcpcs=(), pairs=(), demographics=False)}),
 pos AS ({_POS}),
 lg AS (SELECT l.person_id, l.case_ind, l.code, p.pos, l.v FROM ({_LONG}) l JOIN pos p ON l.code = p.code),
@@ -40,11 +45,12 @@ pr AS (SELECT a.code AS code1, b.code AS code2, a.pos AS pos1, b.pos AS pos2,
               sum(CASE WHEN a.case_ind = 0 THEN b.v ELSE 0 END) AS n2_neg,
               sum(CASE WHEN a.case_ind = 0 THEN a.v * b.v ELSE 0 END) AS n11_neg
        FROM lg a JOIN lg b ON a.person_id = b.person_id AND a.pos < b.pos
-       GROUP BY 1, 2, 3, 4 HAVING sum(a.v * b.v) > 0)
+       GROUP BY 1, 2, 3, 4)
 SELECT code1, code2, pos1, pos2, CAST(n_pos AS BIGINT) AS n_pos, CAST(n1_pos AS BIGINT) AS n1_pos,
        CAST(n2_pos AS BIGINT) AS n2_pos, CAST(n11_pos AS BIGINT) AS n11_pos, CAST(n_neg AS BIGINT) AS n_neg,
        CAST(n1_neg AS BIGINT) AS n1_neg, CAST(n2_neg AS BIGINT) AS n2_neg, CAST(n11_neg AS BIGINT) AS n11_neg
 FROM pr, cls"""
+COUNTS_SQL = f"SELECT * FROM ({ALL_SQL}) every WHERE n11_pos + n11_neg > 0"
 
 PHI = """CASE WHEN sqrt(CAST(n1_pos AS DOUBLE) * (n_pos - n1_pos) * n2_pos * (n_pos - n2_pos)) > 0 THEN
   (CAST(n_pos AS DOUBLE) * n11_pos - CAST(n1_pos AS DOUBLE) * n2_pos)
@@ -72,19 +78,23 @@ def a19_cooccur(spark, sf_dir):
     return pr.cooccurrence(counts(spark, sf_dir))
 
 
-CORR_SQL = f"""WITH c AS ({COUNTS_SQL}), one AS (SELECT code1, code2, pos1, pos2, {PHI} AS correlation FROM c)
+def _corr_sql(counts_sql):
+    return f"""WITH c AS ({counts_sql}), one AS (SELECT code1, code2, pos1, pos2, {PHI} AS correlation FROM c)
 SELECT * FROM one UNION ALL SELECT code2, code1, pos2, pos1, correlation FROM one"""
 
 
+CORR_SQL, CORR_ALL_SQL = _corr_sql(COUNTS_SQL), _corr_sql(ALL_SQL)
+
+
 @register("X5_corr", CORR_SQL)
 def x5_corr(spark, sf_dir):
     return pr.correlations(counts(spark, sf_dir))
 
 
-@register("R4_top_corr", f"""WITH z AS ({CORR_SQL})
+@register("R4_top_corr", f"""WITH z AS ({CORR_ALL_SQL})
 SELECT * FROM z ORDER BY correlation DESC NULLS LAST, pos1, pos2 LIMIT 20""")
 def r4_top_corr(spark, sf_dir):
-    return pr._top(pr.correlations(counts(spark, sf_dir)), "correlation", 20)
+    return pr.top_correlations(sums(spark, sf_dir), FLAGS, 20)
 
 
 @register("R5_lower", f"WITH z AS ({CORR_SQL}) SELECT * FROM z WHERE pos1 > pos2")
@@ -93,6 +103,7 @@ def r5_lower(spark, sf_dir):
 
 
 MI_SQL = f"WITH c AS ({COUNTS_SQL}) SELECT code1, code2, pos1, pos2, {MI_POS} AS mutual_info FROM c"
+MI_ALL_SQL = f"WITH c AS ({ALL_SQL}) SELECT code1, code2, pos1, pos2, {MI_POS} AS mutual_info FROM c"
 
 
 def _rounded(df, col="mutual_info", digits=10):
@@ -105,18 +116,25 @@ def x6_mi(spark, sf_dir):
     return _rounded(pr.mutual_information(counts(spark, sf_dir)))
 
 
+@register("X6_mi_top", f"""SELECT * REPLACE (round(mutual_info, 10) AS mutual_info) FROM (
+  SELECT * FROM ({MI_ALL_SQL}) m ORDER BY mutual_info DESC NULLS LAST, pos1, pos2 LIMIT 20)""")
+def x6_mi_top(spark, sf_dir):
+    """The 20 pairs of highest mutual information among all pairs of codes."""
+    return _rounded(pr.top_pairs(sums(spark, sf_dir), FLAGS, "mutual_info", 20))
+
+
 @register("U3_combined", f"""
-WITH c AS ({COUNTS_SQL}),
-corr AS (SELECT code1, code2, 'correlation' AS method, 1 AS prio FROM ({CORR_SQL}) z
+WITH c AS ({ALL_SQL}),
+corr AS (SELECT code1, code2, 'correlation' AS method, 1 AS prio FROM ({CORR_ALL_SQL}) z
          ORDER BY correlation DESC NULLS LAST, pos1, pos2 LIMIT 20),
 co AS (SELECT code1, code2, 'cooccurrence' AS method, 2 AS prio FROM c
        ORDER BY n11_pos DESC NULLS LAST, pos1, pos2 LIMIT 20),
-mi AS (SELECT code1, code2, 'mutual_info' AS method, 3 AS prio FROM ({MI_SQL}) m
+mi AS (SELECT code1, code2, 'mutual_info' AS method, 3 AS prio FROM ({MI_ALL_SQL}) m
        ORDER BY mutual_info DESC NULLS LAST, pos1, pos2 LIMIT 20),
 u AS (SELECT * FROM corr UNION ALL SELECT * FROM co UNION ALL SELECT * FROM mi)
 SELECT code1, code2, arg_min(method, prio) AS method FROM u GROUP BY code1, code2""")
 def u3_combined(spark, sf_dir):
-    return pr.combined_top(counts(spark, sf_dir))
+    return pr.combined_top(sums(spark, sf_dir), FLAGS)
 
 
 TABLE_SQL = f"""WITH c AS ({COUNTS_SQL})

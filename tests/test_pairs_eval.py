@@ -1,6 +1,7 @@
 """Pair counts and evaluation metrics against brute force on small fixtures."""
 
 import itertools
+import math
 import random
 
 import pytest
@@ -37,6 +38,47 @@ def test_correlation_matches_spark_corr(spark):
     assert ("a", "c") not in corr  # never together
 
 
+def _phi(n, a, b, c):
+    den = (a * (n - a) * b * (n - b)) ** 0.5
+    return (n * c - a * b) / den if den > 0 else None
+
+
+def _mi(n, a, b, c):
+    cells = [(c, a, b), (a - c, a, n - b), (b - c, n - a, b), (n - a - b + c, n - a, n - b)]
+    return sum(x / n * math.log(n * x / (p * q)) for x, p, q in cells if x > 0)
+
+
+@pytest.mark.parametrize("width", [2, 3, 64])
+@pytest.mark.parametrize("k", [3, 10, 200])
+def test_rankings_hold_pairs_never_together(spark, width, k):
+    """f0 and f1 are each held by half the positives and never together: their mutual information is ln 2, the highest."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(240):
+        y, half = int(i % 3 > 0), i % 2
+        rest = [int(rnd.random() < p) for p in (0.3, 0.2, 0.1, 0.05, 0.02)]
+        rows.append((y, 1 - half, half, *rest, 0))
+    flags = [f"f{i}" for i in range(8)]
+    df = spark.createDataFrame(rows, "case_ind int, " + ", ".join(f"{f} int" for f in flags))
+    sums, pos = pr.pair_sums(df, flags), [r[1:] for r in rows if r[0] == 1]
+    n, m = len(pos), [sum(c) for c in zip(*pos)]
+    for metric, value in (("correlation", _phi), ("mutual_info", _mi), ("cooccurrence_count", lambda n, a, b, c: c)):
+        every = []
+        for i, j in itertools.combinations(range(8), 2):
+            v = value(n, m[i], m[j], sum(r[i] * r[j] for r in pos))
+            every.append((v is None, -round(v, 9) if v is not None else 0, i, j))
+        got = [(r.pos1, r.pos2) for r in pr.top_pairs(sums, flags, metric, k, width).collect()]
+        assert got == [(i, j) for _, _, i, j in sorted(every)[:k]], metric
+    first = pr.top_pairs(sums, flags, "mutual_info", 1, width).first()
+    assert (first.code1, first.code2) == ("f0", "f1") and first.mutual_info == pytest.approx(math.log(2))
+
+
+def test_pair_sums_of_no_rows(spark):
+    df = spark.createDataFrame([], "case_ind int, a int, b int")
+    assert pr.pair_counts(df, ["a", "b"]).collect() == []
+    assert [(r.pos1, r.pos2, r.mutual_info) for r in pr.top_pairs(pr.pair_sums(df, ["a", "b"]), ["a", "b"], "mutual_info", 5).collect()] == [(0, 1, None)]
+
+
 def _brute_auc(rows):
     pos = [s for s, y in rows if y == 1]
     neg = [s for s, y in rows if y == 0]
