@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
-from cohortlens.llm.bpe_text import TextEncoder, byte_symbols, worker_encoder
+from cohortlens.llm.bpe_text import TextEncoder, byte_symbols, task_done, worker_encoder
 
 LEXICON_WORDS = 65_536
 _ARRAYS = (("arc_key", np.int64), ("arc_target", np.int32), ("arc_skip", np.int32), ("final", np.uint8),
@@ -266,6 +266,7 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
                 if len(seen) > held:
                     yield words()
         yield words()
+        task_done()
 
     return (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
@@ -319,5 +320,6 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, lexicon: str | None,
                     cols.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        task_done()
 
     return rows.mapInArrow(run, schema)

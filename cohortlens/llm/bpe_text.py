@@ -124,4 +124,10 @@ def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
     if cache.get("encoder_key") != key:
         cache.pop("encoder", None)
         cache["encoder"], cache["encoder_key"] = kind(tokenizer_json, *args), key
+    cache["encoder_busy"] = True
     return cache["encoder"]
+
+
+def task_done() -> None:
+    """The task's last word: its encoder stays for the next task of the stage, until another operator needs the worker."""
+    process_cache()["encoder_busy"] = False

@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from cohortlens.llm.storage import release_idle
+
 SLICE_BYTES = 1 << 20
 _U = np.uint64
 
@@ -146,8 +148,9 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def row_blocks(batch: pa.RecordBatch, text: str, limit: int = 8 << 20):
+def row_blocks(batch: pa.RecordBatch, text: str, limit: int = 2 << 20):
     """Cut a batch by rows so that each piece holds about ``limit`` bytes of text (at least one row)."""
+    release_idle()
     col = batch.column(batch.schema.get_field_index(text))
     _, off = utf8_buffers(col)
     at, n = 0, batch.num_rows

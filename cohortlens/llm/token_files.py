@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
-from cohortlens.llm.bpe_text import LibraryEncoder, worker_encoder
+from cohortlens.llm.bpe_text import LibraryEncoder, task_done, worker_encoder
 from cohortlens.llm.storage import open_fs
 
 FILE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
@@ -78,6 +78,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
                 flush()
             writer.close()
             out.close()
+        task_done()
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "file": [name],
                                               "n_docs": [docs_done], "file_tokens": [start]})
 
