@@ -36,10 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
+from cohortlens.llm.storage import release_idle
 
 HEAD = 1 << 10
 LAMBDA, ALPHA = 0.6, 0.5
 BUCKET_PAIRS = 3_000_000
+SHARE_PAIRS = 400_000  # pairs of a bucket counted and scored at a time
+PIECE = 8 << 20
 _BACK, _TARGET, _UNSCORED = 0, 1, 2
 _BLOCK = 1 << 14
 
@@ -64,7 +67,7 @@ def word_counts(both: DataFrame) -> DataFrame:
     def run(batches):
         hashes, counts = [], []
         for batch in batches:
-            for part in textkit.row_blocks(batch, "text"):
+            for part in textkit.row_blocks(batch, "text", PIECE):
                 words, at = textkit.word_hashes(*textkit.utf8_buffers(part.column(2)))
                 target = np.repeat(np.asarray(part.column(0)) == _TARGET, np.diff(at))
                 if not len(words):
@@ -136,7 +139,7 @@ def _head_counts(both: DataFrame, head_words, head: int) -> np.ndarray:
         head_of = Head(head_words.value)
         total = np.zeros((2, cells), np.int64)
         for batch in batches:
-            for part in textkit.row_blocks(batch, "text"):
+            for part in textkit.row_blocks(batch, "text", PIECE):
                 (history, _), (word, _), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
                 target = np.repeat(np.asarray(part.column(0)) == _TARGET, np.diff(off))
                 inside = (history >= 0) & (word >= 0)
@@ -215,7 +218,7 @@ def _scored(both: DataFrame, shared, head: int, buckets: int) -> DataFrame:
         words, single, head_pairs, totals, size = shared.value
         head_of, piece = Head(words), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in textkit.row_blocks(batch, "text"):
+            for part in textkit.row_blocks(batch, "text", PIECE):
                 piece += 1
                 kind, doc = np.asarray(part.column(0)).astype(np.uint8), np.asarray(part.column(1))
                 (history, past), (word, now), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
@@ -249,13 +252,13 @@ def _groups(batches, key: str):
     """(key, rows) of consecutive rows with an equal key."""
     now, held = None, []
     for batch in batches:
-        at = batch.schema.get_field_index(key)
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[at] != now:
+        release_idle()
+        for i, own in enumerate(batch.column(batch.schema.get_field_index(key)).to_pylist()):
+            if own != now:
                 if held:
                     yield now, held
-                now, held = row[at], []
-            held.append(row)
+                now, held = own, []
+            held.append(tuple(c[i].as_py() for c in batch.columns))  # row by row: only this group is held as bytes
     if held:
         yield now, held
 
@@ -342,16 +345,19 @@ def _bucket_losses(packed: DataFrame, others: DataFrame, shared, head: int, buck
             for h in rows:
                 if h[0] < 0:
                     single[:, head + np.flatnonzero(owner == -1 - h[0])] = _unsqueeze(h[4], np.int64).reshape(2, -1)
-            key = history * np.int64(n) + word
-            del history, word
-            keys, inv = np.unique(key, return_inverse=True)
-            del key
-            count_t = np.bincount(inv, target, len(keys))
-            count_b = np.bincount(inv, minlength=len(keys)) - count_t
-            row = np.repeat(np.arange(len(counts)), counts)
-            first, second = np.divmod(keys, n)
-            loss = [np.bincount(row, _losses(c, first, second, single[k], totals[k], size)[inv], len(counts))
-                    for k, c in ((0, count_b), (1, count_t))]
+            row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+            loss = np.zeros((2, len(counts)))
+            shares = max(1, -(-len(word) // SHARE_PAIRS))
+            share = np.mod(history * np.int32(7919) + word, np.int32(shares)).astype(np.int16)  # equal pairs lie in one share
+            for part in range(shares):
+                mine = np.flatnonzero(share == part)
+                keys, inv = np.unique(history[mine] * np.int64(n) + word[mine], return_inverse=True)
+                count_t = np.bincount(inv, target[mine], len(keys))
+                count_b = np.bincount(inv, minlength=len(keys)) - count_t
+                first, second = np.divmod(keys, n)
+                for k, c in ((0, count_b), (1, count_t)):
+                    loss[k] += np.bincount(row[mine], _losses(c, first, second, single[k], totals[k], size)[inv], len(counts))
+            del history, word, share, row
             out, at = [], 0
             for h, k in zip(held, kind):
                 ok = k == _BACK
