@@ -78,9 +78,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
                 flush()
             writer.close()
             out.close()
-        task_done()
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "file": [name],
                                               "n_docs": [docs_done], "file_tokens": [start]})
+        task_done()
 
     # the range's sample of keys goes to the driver, so a hash stands for the text
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
