@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import storage, textkit
 
+SHARES = 16
 BUCKET = 1024
 _MARKS = re.compile(r"(?:[ \t]*>)+")
 _WROTE = re.compile(r"On .*wrote:\s*")
@@ -102,6 +103,20 @@ def _latest_before(quotes: DataFrame, originals: DataFrame) -> DataFrame:
     return rows.join(earlier, ["thread", "hash", "bucket"], "left").withColumn("of", F.coalesce("near", "far")).drop("near", "far", "bucket")
 
 
+def _two_threads(originals: DataFrame) -> DataFrame:
+    """(hash, any, other): the first original of each passage, and the first one of any other thread.
+
+    A passage that very many threads hold is dealt over ``SHARES`` groups of threads."""
+    share = F.pmod(F.xxhash64("thread"), F.lit(SHARES)).cast("int")
+    tops = originals.withColumn("share", share).groupBy("hash", "thread", "share").agg(F.min("seq").alias("seq"))
+    first = tops.groupBy("hash", "share").agg(F.min(F.struct("thread", "seq")).alias("any"))
+    first = first.groupBy("hash").agg(F.min("any").alias("any"))
+    spread = first.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    other = (tops.join(spread, ["hash", "share"]).where(F.col("thread") != F.col("any.thread"))
+             .groupBy("hash", "share").agg(F.min(F.struct("thread", "seq")).alias("other")))
+    return first.join(other.groupBy("hash").agg(F.min("other").alias("other")), "hash", "left")
+
+
 def _positions(rows: DataFrame) -> DataFrame:
     """``rows`` with ``position`` in their thread, from 1."""
     rows = rows.withColumn("bucket", F.floor(F.col("seq") / BUCKET))
@@ -125,10 +140,9 @@ def link_quotes(messages: DataFrame, folder: str, thread: str = "conv_id", seq:
     originals = storage.stage(placed.select("thread", "seq", F.explode("pieces").alias("hash")).distinct()
                               .join(asked, "hash", "left_semi"), folder, "originals")
     found = _latest_before(quotes, originals)
-    first = originals.groupBy("hash").agg(F.min(F.struct("thread", "seq")).alias("any"))
-    found = found.join(first, "hash", "left").withColumn("to", F.when(
+    found = found.join(_two_threads(originals), "hash", "left").withColumn("to", F.when(
         F.col("of").isNotNull(), F.struct("thread", F.col("of").alias("seq")))
-        .when(F.col("any.thread") != F.col("thread"), F.col("any")))
+        .when(F.col("any.thread") != F.col("thread"), F.col("any")).otherwise(F.col("other")))
     # within a passage the earliest try that is found; of a message the first passage of the lowest level
     replies = (found.where("to is not null").groupBy("thread", "seq")
                .agg(F.min_by("to", F.struct("level", "passage", "try")).alias("to")))

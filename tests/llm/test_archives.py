@@ -65,3 +65,13 @@ def test_op8_edges(spark):
     assert reply(1, 5000, "late") == (1, 2, 6) and reply(1, 5000, "dup")[2] == 5
     assert got[1, 2, "ok"].max_level == 2 and reply(None, 0, "x") == (None, None, None) and reply(3, 0, "") == (None, None, 1)
     assert quote_links.link_quotes(df.limit(0), storage.work_folder(spark, "t")).count() == 0
+
+
+def test_op8_original_of_another_thread(spark):
+    """The quote's own thread holds the passage first by order, but later than the quote: another thread's original is found."""
+    rows = [(1, 0, "> said it so\n\nwhat?"), (1, 5, "said it so"), (2, 0, "said it so")]
+    rows += [(t, 0, "said it so") for t in range(3, 60)]
+    rows += [(70, 0, "> only here\n\nhm"), (70, 4, "only here")]
+    mail = spark.createDataFrame([(t, n, "user", x) for t, n, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in quote_links.link_quotes(mail, storage.work_folder(spark, "t")).collect()}
+    assert got[(1, 0)] == (2, 0) and got[(70, 0)] == (None, None) and got[(1, 5)] == (None, None)
