@@ -48,6 +48,19 @@ def test_op1_empty_and_repeated(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id) == [(1, "a b c d e f"), (3, None)]
 
 
+@pytest.mark.parametrize("parts", [1, 2, 4])
+def test_op1_ids_with_several_texts(spark, parts):
+    """Rows that share an id are one node, however they are dealt; each text keeps its own links."""
+    x, y, z = ("x%d " * 40 % tuple(range(40)), "y%d " * 40 % tuple(range(40)), "z%d " * 40 % tuple(range(40)))
+    rows = [(5, x), (9, x), (5, y), (3, y), (7, x + "more"), (20, z), (21, z + "more"), (20, ""), (22, "alone"), (None, y)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in
+                 ngram_join.similar_groups(docs, storage.work_folder(spark, "t")).collect())
+    assert got == sorted([(5, 37, 3), (9, 37, 3), (5, 37, 3), (3, 37, 3), (7, 38, 3), (20, 37, 20), (21, 38, 20), (20, 0, 20), (22, 1, 22), (0, 37, 3)])
+    kept = ngram_join.keep_one(docs, storage.work_folder(spark, "t"), 4, 85).collect()
+    assert sorted((r.doc_id, len(r.text) > 0) for r in kept if r.doc_id) in ([(3, True), (20, True), (22, True)], [(3, True), (20, False), (22, True)])
+
+
 def test_divide_skip_counts():
     rng = np.random.default_rng(0)
     sets = [np.sort(rng.choice(60, rng.integers(10, 40), replace=False)).astype(np.uint64) for _ in range(80)]
