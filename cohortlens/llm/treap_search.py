@@ -218,18 +218,19 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
 
 def _write(uri: str, parts: list[bytes]) -> None:
     fs, path = storage.open_fs(uri)
+    small = [pa.compress(p, "zstd", asbytes=True) for p in parts]
     with fs.open_output_stream(path) as out:
-        out.write(np.array([len(p) for p in parts], "<i8").tobytes())
-        for p in parts:
-            out.write(p)
+        out.write(np.array([[len(p), len(s)] for p, s in zip(parts, small)], "<i8").tobytes())
+        for s in small:
+            out.write(s)
 
 
 def _read(uri: str, parts: int) -> list[bytes]:
     """The first ``parts`` of PARTS of a block's file."""
     fs, path = storage.open_fs(uri)
     with fs.open_input_file(path) as f:
-        sizes = np.frombuffer(f.read(8 * len(PARTS)), "<i8")
-        return [f.read(int(n)) for n in sizes[:parts]]
+        sizes = np.frombuffer(f.read(16 * len(PARTS)), "<i8").reshape(-1, 2)
+        return [pa.decompress(f.read(int(s)), int(n), "zstd", asbytes=True) for n, s in sizes[:parts]]
 
 
 def _spread(index: DataFrame) -> DataFrame:
