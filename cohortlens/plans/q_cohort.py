@@ -12,11 +12,12 @@ from cohortlens.plans import params as P
 from cohortlens.plans.registry import register
 from cohortlens.plans.sql_common import claims_sql
 from cohortlens.session import written
-from cohortlens.sources import driver
+from cohortlens.sources import driver, layout
 
 PAIRS = [("Brand#1", "Brand#2"), ("Brand#3", "Brand#7"), ("Brand#7", "Brand#12")]
 Y0, Y1 = f"{P.YEAR}-01-01", f"{P.YEAR}-12-31"
 L = P.LOOKBACK_DAYS
+STAGED_BUCKETS = 8
 
 
 # ---- Spark side -----------------------------------------------------------
@@ -210,6 +211,29 @@ def a10_code_flags(spark, sf_dir):
 register("Q6_features", features_sql())(features)
 
 
+def staged_layout(spark, sf_dir):
+    """The study's claims with their codes, and the index dates, as bucketed tables."""
+    built = layout.stage_claims(driver.attach_codes(spark, sf_dir, cohort_claims(spark, sf_dir)), STAGED_BUCKETS)
+    return layout.stage_index(built, index_dates(spark, sf_dir))
+
+
+@register("Q7_dataset", f"SELECT * REPLACE (CAST(case_ind AS TINYINT) AS case_ind) FROM ({features_sql()}) f")
+def q7_dataset(spark, sf_dir):
+    """The feature dataset built from the staged layout, written once and read back, label as a byte."""
+    feats = layout.staged_features(staged_layout(spark, sf_dir), covered(spark, sf_dir).drop("coverage"), L,
+                                   P.ICD_CODES, P.HCPCS_CODES, PAIRS)
+    return written(feats.withColumn(S.LABEL, F.col(S.LABEL).cast("byte")), "dataset")
+
+
+@register("J6_staged", f"""
+SELECT person_id, case_ind, index_date, claim_id, claim_date, claim_amt, file_type FROM ({window_sql()}) w""")
+def j6_staged(spark, sf_dir):
+    """The lookback window over the staged layout."""
+    usual, hot = layout.staged_window(staged_layout(spark, sf_dir), L)
+    cols = [S.PERSON, S.LABEL, S.INDEX_DATE, S.CLAIM, S.DATE, S.AMOUNT, S.FILE_TYPE]
+    return usual.select(*cols).unionByName(hot.select(*cols))
+
+
 # Events as a dense lookback: person = user, claim = event, date = timestamp,
 # amount = value, type = event type.  Index = each user's latest 'error' event
 # with value > 100; features = per-type counts and sums in the 7 days before.
