@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortlens.operators.evaluate import cumulative_before
+from cohortlens.session import written
 
 
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
@@ -24,6 +25,16 @@ def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     return out.filter(F.col("null_count") > 0) if only_missing else out
 
 
+def written_with_nulls(df: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """Write ``df`` and read it back, with its row count (``rows``) and each column's NULL count (P1, P2): the counts are
+    observed while the rows pass to the files, so nothing is scanned for them."""
+    seen = Observation(f"{name}_nulls")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(F.col(c).isNull(), True)).alias(c) for c in df.columns])
+    table = written(watched, name)
+    got = seen.get
+    return table, {"rows": got["_rows"], **{c: got[c] for c in df.columns}}
+
+
 def counts(df: DataFrame, label: str) -> DataFrame:
     """Rows and label total in one pass."""
     return df.agg(F.count("*").alias("rows"), F.sum(label).cast("long").alias("positives"))

@@ -95,10 +95,13 @@ def numbered_lines(spark, sf_dir):
             .withColumn("slot", F.row_number().over(order)))
 
 
-def slot_count(spark, sf_dir) -> int:
-    """Slots of the wide layout: the most lines of any order."""
-    sizes = driver.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 1
+WIDTH = S.CARRIER_LINE_SLOTS  # slots of a wide row; lines beyond go to further rows of the same order
+
+
+def wide_lines(lines, value):
+    """(l_orderkey, block, slots 1..WIDTH) of numbered lines: a fixed number of columns, and every line kept."""
+    placed = (lines.withColumn("block", F.floor((F.col("slot") - 1) / WIDTH)).withColumn("place", F.pmod(F.col("slot") - 1, F.lit(WIDTH)) + 1))
+    return placed.groupBy("l_orderkey", "block").pivot("place", list(range(1, WIDTH + 1))).agg(value)
 
 
 NUMBERED_SQL = """SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
@@ -109,10 +112,10 @@ NUMBERED_SQL = """SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
 FROM lineitem GROUP BY l_orderkey""")
 def c13_line_sum(spark, sf_dir):
     """Order lines pivoted to the carrier's wide line-amount slots, one a line, then the row-wise sum with NULL
-    slots as 0."""
-    slots = list(range(1, slot_count(spark, sf_dir) + 1))
-    wide = (numbered_lines(spark, sf_dir).groupBy("l_orderkey").pivot("slot", slots).agg(F.sum(cl.money("l_extendedprice"))))
-    return wide.select("l_orderkey", cl.row_sum([F.col(f"`{x}`") for x in slots], "decimal(28,2)").cast("double").alias(S.AMOUNT))
+    slots as 0, over all rows of an order."""
+    wide = wide_lines(numbered_lines(spark, sf_dir), F.sum(cl.money("l_extendedprice")))
+    rows = wide.select("l_orderkey", cl.row_sum([F.col(f"`{x}`") for x in range(1, WIDTH + 1)], "decimal(28,2)").alias("_sum"))
+    return rows.groupBy("l_orderkey").agg(F.sum("_sum").cast("double").alias(S.AMOUNT))
 
 
 @register("C19_calendar", f"""SELECT claim_id, CAST(weekofyear(claim_date) AS INTEGER) AS week,
@@ -181,13 +184,13 @@ def p7_histogram(spark, sf_dir):
 
 
 def line_slots(spark, sf_dir):
-    """Order lines in the wide slot layout of a claim file: (frame, slot columns), slot_i = the brand of the order's
-    i-th line."""
-    slots = list(range(1, slot_count(spark, sf_dir) + 1))
+    """Order lines in the wide slot layout of a claim file: (frame, slot columns), slot_i = the brand of the i-th line
+    of the order's block."""
     p = driver.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     li = numbered_lines(spark, sf_dir)
-    wide = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey").pivot("slot", slots).agg(F.min("p_brand")))
-    return (wide.select("l_orderkey", *[F.col(f"`{i}`").alias(f"slot_{i}") for i in slots]), [f"slot_{i}" for i in slots])
+    wide = wide_lines(li.join(p, li.l_partkey == p.p_partkey), F.min("p_brand"))
+    slots = range(1, WIDTH + 1)
+    return wide.select("l_orderkey", "block", *[F.col(f"`{i}`").alias(f"slot_{i}") for i in slots]), [f"slot_{i}" for i in slots]
 
 
 SLOTS_SQL = f"""SELECT l_orderkey, slot, p_brand AS b FROM ({NUMBERED_SQL}) n JOIN part ON l_partkey = p_partkey"""
@@ -198,7 +201,9 @@ SLOTS_SQL = f"""SELECT l_orderkey, slot, p_brand AS b FROM ({NUMBERED_SQL}) n JO
 FROM ({SLOTS_SQL}) s GROUP BY l_orderkey""")
 def r1_arrays(spark, sf_dir):
     wide, slots = line_slots(spark, sf_dir)
-    return wide.select("l_orderkey", cl.code_slots(slots).alias("codes"))
+    rows = wide.select("l_orderkey", "block", cl.code_slots(slots).alias("codes"))
+    return (rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("block", "codes"))).alias("_rows"))
+            .select("l_orderkey", F.flatten(F.col("_rows.codes")).alias("codes")))
 
 
 @register("R3_melt", f"""SELECT l_orderkey, b AS code FROM ({SLOTS_SQL}) s
@@ -210,12 +215,11 @@ def r3_melt(spark, sf_dir):
 
 
 @register("C6_codes", f"""WITH s AS ({SLOTS_SQL}),
-grid AS (SELECT o.l_orderkey, CAST(r.range AS INTEGER) AS slot
-         FROM (SELECT DISTINCT l_orderkey FROM s) o, range(1, (SELECT max(slot) FROM s) + 1) r)
+grid AS (SELECT l_orderkey, CAST(unnest(range(1, ((max(slot) - 1) // {WIDTH} + 1) * {WIDTH} + 1)) AS INTEGER) AS slot FROM s GROUP BY l_orderkey)
 SELECT g.l_orderkey, g.slot, coalesce(trim(s.b), '') AS code
 FROM grid g LEFT JOIN s ON s.l_orderkey = g.l_orderkey AND s.slot = g.slot""")
 def c6_codes(spark, sf_dir):
-    """Cleaned code slots, one row a slot (the number of slots follows the data)."""
+    """Cleaned code slots, one row a slot; an order has as many full rows of slots as its lines need."""
     wide, slots = line_slots(spark, sf_dir)
-    cells = F.array(*[F.struct(F.lit(i + 1).alias("slot"), cl.clean_code(c).alias("code")) for i, c in enumerate(slots)])
+    cells = F.array(*[F.struct((F.col("block") * WIDTH + i + 1).cast("int").alias("slot"), cl.clean_code(c).alias("code")) for i, c in enumerate(slots)])
     return wide.select("l_orderkey", F.inline(cells))

@@ -27,4 +27,4 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from cohortlens.plans import (q_summary, q_dashboard, q_clean_profile,  # noqa: F401
                                   q_cohort, q_enrich, q_pairs, q_evaluate, q_model,
-                                  q_resample)
+                                  q_resample, q_files)

@@ -9,12 +9,14 @@ from __future__ import annotations
 import csv
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import schemas
+from cohortlens.session import written
 
 log = logging.getLogger(__name__)
 
@@ -56,11 +58,12 @@ def _header(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
 def _by_header(spark: SparkSession, paths: Sequence[str], sep: str) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by their header; empty files are left out."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        for f in _data_files(spark, path):
-            head = _header(spark, f, sep)
-            if head:
-                groups.setdefault(head, []).append(f)
+    files = [f for path in paths for f in _data_files(spark, path)]
+    with ThreadPoolExecutor(16) as pool:  # one line a file, many files at a time
+        heads = list(pool.map(lambda f: _header(spark, f, sep), files))
+    for f, head in zip(files, heads):
+        if head:
+            groups.setdefault(head, []).append(f)
     return groups
 
 
@@ -102,51 +105,65 @@ def load_file(spark: SparkSession, path: str | Sequence[str],
     return _read_by_name(spark, paths, schema, sep, "FAILFAST")
 
 
-def _ragged(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> set[str]:
-    """Names of files with a row of more fields than the header; one job a distinct header."""
-    bad: set[str] = set()
+def _checked(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None, sep: str = ",") -> DataFrame | None:
+    """Every row of the files with its file's name (``_file``) and ``_bad``: more fields than the header, or a value
+    that the declared type cannot hold.  One scan a file."""
+    declared = {f.name: f.dataType for f in (schema.fields if schema else [])}
+    out = None
     for head, files in _by_header(spark, paths, sep).items():
         # a field beyond the header falls into one more column
-        fields = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(len(head) + 1)])
-        rows = spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(files)
-        more = rows.where(F.col(f"c{len(head)}").isNotNull()).select(F.input_file_name().alias("f"))
-        bad |= {r.f.rsplit("/", 1)[-1] for r in more.distinct().collect()}
-    return bad
+        text = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(len(head) + 1)])
+        raw = (spark.read.schema(text).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(files)
+               .select("*", F.col("_metadata.file_path").alias("_file")))
+        bad, cols = F.col(f"c{len(head)}").isNotNull(), []
+        for i, name in enumerate(head):
+            kind = declared.get(name, T.StringType())
+            value = F.col(f"c{i}") if isinstance(kind, T.StringType) else F.col(f"c{i}").try_cast(kind)
+            bad = bad | (F.col(f"c{i}").isNotNull() & value.isNull())
+            cols.append(value.alias(name))
+        part = raw.select("_file", bad.alias("_bad"), *cols)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def load_all(spark: SparkSession, data_dir: str, types: Sequence[str] = tuple(schemas.FILE_TYPES)
              ) -> dict[str, DataFrame]:
-    """Every ``*.csv`` in ``data_dir``; a file belongs to each type whose
-    name occurs in its file name (case-insensitive).  All files of a type are
-    unioned by column name (deterministic, trap K1).  A file that lacks a
-    required column or holds a row with too many fields is skipped with a
-    warning; an absent type is left out of the result.  No CSV at all raises
+    """Every ``*.csv`` (a file, or a folder of data files) in ``data_dir``;
+    it belongs to each type whose name occurs in its name (case-insensitive).
+    All files of a type are unioned by column name (deterministic, trap K1).
+    A file that lacks a required column, holds a row with too many fields or
+    a value that its declared type cannot hold is skipped with a warning; an
+    absent type is left out of the result.  No CSV at all raises
     FileNotFoundError.
+
+    Each file is scanned once: the typed rows are written to the shared folder
+    with their file's name, and those of bad files are left out of what is
+    read back.
     """
     fs, hp = _hadoop_fs(spark, data_dir)
     if not fs.exists(hp):
         raise FileNotFoundError(data_dir)
-    names = sorted(st.getPath().toString() for st in fs.listStatus(hp)
-                   if st.isFile() and st.getPath().getName().endswith(".csv"))
+    names = sorted(st.getPath().toString() for st in fs.listStatus(hp) if st.getPath().getName().endswith(".csv"))
     if not names:
         raise FileNotFoundError(f"no CSV files in {data_dir}")
     out: dict[str, DataFrame] = {}
     for ftype in types:
-        matched = [n for n in names if ftype.upper() in n.rsplit("/", 1)[-1].upper()]
-        ragged = _ragged(spark, matched)
-        good = []
-        for n in matched:
-            head = _header(spark, n, ",")
+        matched = [f for n in names if ftype.upper() in n.rsplit("/", 1)[-1].upper() for f in _data_files(spark, n)]
+        whole = []
+        for head, files in _by_header(spark, matched, ",").items():
             lacking = [c for c in schemas.REQUIRED_ON_LOAD.get(ftype, ()) if c not in head]
             if lacking:
-                log.warning("skipping %s (%s): columns not found: %s", n, ftype, lacking)
-            elif n.rsplit("/", 1)[-1] in ragged:
-                log.warning("skipping %s (%s): a row has more fields than the header", n, ftype)
+                log.warning("skipping %s (%s): columns not found: %s", files, ftype, lacking)
             else:
-                good.append(n)
-        if good:
-            out[ftype] = load_file(spark, good, schemas.REQUIRED_ON_LOAD.get(ftype),
-                                   schemas.SCHEMAS.get(ftype))
+                whole += files
+        if not whole:
+            continue
+        rows = written(_checked(spark, whole, schemas.SCHEMAS.get(ftype)), f"load_{ftype}")
+        bad = [r["_file"] for r in rows.where("_bad").select("_file").distinct().collect()]  # at most one a file listed
+        for f in bad:
+            log.warning("skipping %s (%s): a row has more fields than the header, or a value of another type", f, ftype)
+        if len(bad) < len(whole):
+            out[ftype] = (rows.where(~F.col("_file").isin(bad)) if bad else rows).drop("_file", "_bad")
     missing = [t for t in types if t not in out]
     if missing:
         log.warning("no usable file of type: %s", missing)

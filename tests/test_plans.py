@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 # Queries allowed to run Python (pandas UDFs on aggregated rows only).
-PYTHON_OK = {"X8_fisher", "X9_select_pairs"}
+PYTHON_OK = {"X8_fisher"}  # X9 reads the written statistics
 SKIP = ("M8", "M16", "Q12", "op", "pipeline")  # these run jobs while building; operators are tested by themselves
 
 
@@ -89,6 +89,30 @@ def test_melt_keeps_every_line(spark):
     assert E.queries()["R3_melt"](spark, SF).count() == lines
 
 
+def test_wide_rows_have_a_fixed_width(spark):
+    """An order of 100,000 lines becomes further rows of the same 13 slots."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.plans import q_clean_profile as cp
+    lines = spark.range(100_000).select(F.lit(1).alias("l_orderkey"), (F.col("id") + 1).alias("slot"), F.lit("x").alias("v"))
+    wide = cp.wide_lines(lines, F.min("v"))
+    assert len(wide.columns) == 2 + cp.WIDTH
+    cells = sum((F.col(f"`{i}`").isNotNull().cast("int") for i in range(1, cp.WIDTH + 1)), F.lit(0))
+    assert wide.agg(F.sum(cells)).first()[0] == 100_000 and wide.count() == -(-100_000 // cp.WIDTH)
+
+
+@pytest.mark.parametrize("name", ["J11_pair_counts", "X7_pair_stats", "X9_select_pairs", "U3_combined", "M3_split", "M4_scale", "Q7_dataset"])
+def test_cohort_is_not_planned_again(spark, name):
+    """What these queries return reads written tables: the cohort was evaluated once, before."""
+    plan = _plan(spark, name).split("== Initial Plan ==")[-1]
+    assert plan.count("customer.parquet") <= 1 and plan.count("orders.parquet") == 0
+
+
+def test_index_dates_of_the_features_are_planned_once(spark):
+    plan = _plan(spark, "Q6_features").split("== Initial Plan ==")[-1]
+    assert plan.count("customer.parquet") == 1  # the demographics
+
+
 def test_weekly_series_is_complete(spark):
     from pyspark.sql import functions as F
     weekly = E.queries()["A4_weekly"](spark, SF).agg(F.sum("claim_amt")).first()[0]

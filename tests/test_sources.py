@@ -93,3 +93,28 @@ def test_ragged_file_is_skipped(spark, tmp_path):
     _write(tmp_path / "a_outpatient.csv", head + "A,C1,20090101,5.5,h,x\nA,C9,20090101,5.5,h,x,too,many\n")
     _write(tmp_path / "b_outpatient.csv", head + "B,C2,20090102,1.5,h,y\n")
     assert [r.CLM_ID for r in files.load_all(spark, str(tmp_path))["outpatient"].collect()] == ["C2"]
+
+
+def test_bad_value_and_missing_column_are_skipped(spark, tmp_path):
+    """A value of another type, a ragged row, a missing column: each such file is left out whole, with one scan a file."""
+    head = "DESYNPUF_ID,CLM_ID,CLM_FROM_DT,CLM_PMT_AMT,HCPCS_CD_1,ICD9_DGNS_CD_1\n"
+    _write(tmp_path / "a_outpatient.csv", head + "A,C1,20090101,5.5,h,x\nA,C2,20090101,lots,h,x\n")
+    _write(tmp_path / "b_outpatient.csv", head + "B,C3,20090102,1.5,h,y\nB,C4,20090102\n")
+    _write(tmp_path / "c_outpatient.csv", "DESYNPUF_ID,CLM_ID\nC,C5\n")
+    _write(tmp_path / "d_outpatient.csv", head + "D,C6,20090102,,h,y\n")
+    folder = tmp_path / "e_outpatient.csv"  # a folder of data files, as Spark writes them
+    folder.mkdir()
+    _write(folder / "part-0.csv", head + "E,C7,20090102,2,h,y\n")
+    _write(folder / "_SUCCESS", "")
+    out = files.load_all(spark, str(tmp_path))["outpatient"]
+    assert sorted((r.CLM_ID, r.CLM_PMT_AMT) for r in out.collect()) == [("C3", 1.5), ("C4", None), ("C6", None), ("C7", 2.0)]
+    assert "FileScan csv" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = files._checked(spark, [str(tmp_path / "a_outpatient.csv")], None)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_counts_come_with_the_load(spark, tmp_path):
+    from cohortlens.operators import profile as pf
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    table, seen = pf.written_with_nulls(df, "t")
+    assert seen == {"rows": 3, "a": 1, "b": 2} and table.count() == 3
