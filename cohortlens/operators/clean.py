@@ -18,6 +18,7 @@ TYPE_MAP = {
     "carrier": {"DESYNPUF_ID": "string", "CLM_ID": "string", "CLM_FROM_DT": "date",
                 "LINE_NCH_PMT_AMT_1": "double", "ICD9_DGNS_CD_1": "string", "HCPCS_CD_1": "string"},
 }
+# Key columns, and columns to impute, per file type (fixed values of the file layout).
 KEY_COLUMNS = {
     "beneficiary": ["DESYNPUF_ID", "BENE_BIRTH_DT"],
     "inpatient": ["DESYNPUF_ID", "CLM_ID", "CLM_PMT_AMT"],

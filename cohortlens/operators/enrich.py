@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortlens import schemas as S
 from cohortlens.functions import stats as st
+from cohortlens.operators.evaluate import cumulative_before
+from cohortlens.session import written
 
 CODE = "code"
 
@@ -85,6 +87,18 @@ def pivot_wide(long: DataFrame, codes=None, value: str = "presence", person: str
     return out.select(person, label, *[F.coalesce(x, F.lit(0)).alias(c) for c, x in cells])
 
 
+def pivot_sparse(long: DataFrame, value: str = "frequency", person: str = S.PERSON, label: str = S.LABEL) -> tuple[DataFrame, DataFrame]:
+    """A13 for any number of codes: ((code, level): every code's place from 0 in sorted order; (person, class, size,
+    indices, values): one sparse row a person, indices rising).  Nothing grows with people times codes."""
+    seen = written(frequency(long.where(F.col(CODE).isNotNull()), person, label), "code_frequency")
+    levels = cumulative_before(seen.select(CODE).distinct().withColumn("_one", F.lit(1)), CODE, ["_one"]).select(
+        CODE, F.col("before__one").cast("int").alias("level"))
+    cell = F.struct("level", (F.lit(1) if value == "presence" else F.col("frequency")).cast("int").alias("v"))
+    rows = seen.join(levels, CODE).groupBy(person, label).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))  # one cell a code
+    size = levels.agg(F.count(F.lit(1)).cast("int")).scalar()
+    return levels, rows.select(person, label, size.alias("size"), F.col("_cells.level").alias("indices"), F.col("_cells.v").alias("values"))
+
+
 def class_means(long: DataFrame, person: str = S.PERSON, label: str = S.LABEL) -> DataFrame:
     """Per code, mean presence and mean frequency by class over the
     people with at least one code in the window; difference and ratio.

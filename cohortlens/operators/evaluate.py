@@ -70,8 +70,7 @@ def roc_curve(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataFram
     """(threshold, fpr, tpr) for every distinct score, plus the (0, 0)
     start point at threshold +inf.  Collinear points are kept."""
     ds = cumulative_before(score_table(df, score, label), SCORE, ["n_pos", "n_neg"])
-    p_tot = score_table(df, score, label).agg(F.sum("n_pos").cast("double")).scalar()
-    n_tot = score_table(df, score, label).agg(F.sum("n_neg").cast("double")).scalar()
+    p_tot, n_tot = (ds.agg(F.sum(c).cast("double")).scalar() for c in ("n_pos", "n_neg"))  # of the checkpointed table
     # at threshold s the positives predicted are those with score >= s
     tp = p_tot - F.col("before_n_pos")
     fp = n_tot - F.col("before_n_neg")

@@ -54,6 +54,17 @@ def a13_pivot_frequency(spark, sf_dir):
     return en.pivot_wide(long, en.code_levels(long, P.ICD_CODES), "frequency")
 
 
+@register("A13_sparse", f"""WITH {W}, {LONG},
+f AS (SELECT person_id, case_ind, code, CAST(count(*) AS INTEGER) AS v FROM l WHERE code IS NOT NULL GROUP BY ALL),
+lv AS (SELECT code, CAST(row_number() OVER (ORDER BY code) - 1 AS INTEGER) AS level, CAST(count(*) OVER () AS INTEGER) AS size
+       FROM (SELECT DISTINCT code FROM f))
+SELECT person_id, case_ind, max(size) AS size, list(level ORDER BY level) AS indices, list(v ORDER BY level) AS "values"
+FROM f JOIN lv ON f.code = lv.code GROUP BY person_id, case_ind""")
+def a13_sparse(spark, sf_dir):
+    """One sparse row a person over the sorted code levels."""
+    return en.pivot_sparse(_long(spark, sf_dir), "frequency")[1]
+
+
 @register("A12_presence", f"WITH {W}, {LONG}, {PRES} SELECT * FROM p")
 def a12_presence(spark, sf_dir):
     return en.presence(_long(spark, sf_dir))

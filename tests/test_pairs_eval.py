@@ -162,3 +162,17 @@ def test_a13_queries_keep_codes_outside_the_list(spark, monkeypatch):
     monkeypatch.setattr(params, "ICD_CODES", params.ICD_CODES[:3])
     got = q_enrich.a13_pivot_presence(spark, "/root/testdata/sf0.001").columns
     assert len(got) > 5 and set(got) <= want
+
+
+def test_sparse_pivot_of_many_codes(spark):
+    """50,000 codes: no column a code."""
+    rows = spark.range(50_000).select((F.col("id") % 70).alias("person_id"), (F.col("id") % 2).cast("int").alias("case_ind"),
+                                      F.format_string("c%05d", F.col("id")).alias("code"))
+    rows = rows.unionByName(rows.where("person_id = 3")).unionByName(rows.limit(1).withColumn("code", F.lit(None).cast("string")))
+    levels, sparse = en.pivot_sparse(rows)
+    assert levels.count() == 50_000 and levels.where("code <> format_string('c%05d', level)").count() == 0
+    got = {r.person_id: r for r in sparse.collect()}
+    assert len(got) == 70 and {r["size"] for r in got.values()} == {50_000}
+    assert got[3].indices == list(range(3, 50_000, 70)) and set(got[3]["values"]) == {2}
+    assert got[4].indices == list(range(4, 50_000, 70)) and set(got[4]["values"]) == {1}
+    assert en.pivot_sparse(rows.limit(0))[1].collect() == []
