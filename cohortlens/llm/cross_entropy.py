@@ -42,7 +42,7 @@ HEAD = 1 << 10
 LAMBDA, ALPHA = 0.6, 0.5
 BUCKET_PAIRS = 3_000_000
 SHARE_PAIRS = 400_000  # pairs of a bucket counted and scored at a time
-PIECE = 8 << 20
+PIECE, STEP = 8 << 20, 1 << 20  # bytes of text packed, and hashed, at a time
 _BACK, _TARGET, _UNSCORED = 0, 1, 2
 _BLOCK = 1 << 14
 
@@ -67,7 +67,7 @@ def word_counts(both: DataFrame) -> DataFrame:
     def run(batches):
         hashes, counts = [], []
         for batch in batches:
-            for part in textkit.row_blocks(batch, "text", PIECE):
+            for part in textkit.row_blocks(batch, "text", 2 * STEP):
                 words, at = textkit.word_hashes(*textkit.utf8_buffers(part.column(2)))
                 target = np.repeat(np.asarray(part.column(0)) == _TARGET, np.diff(at))
                 if not len(words):
@@ -139,7 +139,7 @@ def _head_counts(both: DataFrame, head_words, head: int) -> np.ndarray:
         head_of = Head(head_words.value)
         total = np.zeros((2, cells), np.int64)
         for batch in batches:
-            for part in textkit.row_blocks(batch, "text", PIECE):
+            for part in textkit.row_blocks(batch, "text", 2 * STEP):
                 (history, _), (word, _), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
                 target = np.repeat(np.asarray(part.column(0)) == _TARGET, np.diff(off))
                 inside = (history >= 0) & (word >= 0)
@@ -221,21 +221,26 @@ def _scored(both: DataFrame, shared, head: int, buckets: int) -> DataFrame:
             for part in textkit.row_blocks(batch, "text", PIECE):
                 piece += 1
                 kind, doc = np.asarray(part.column(0)).astype(np.uint8), np.asarray(part.column(1))
-                (history, past), (word, now), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(part.column(2))))
-                n = np.diff(off)
-                row = np.repeat(np.arange(len(kind)), n)
-                inside = (history >= 0) & (word >= 0)
-                own = inside & (kind[row] == _BACK)
-                at = history[own] * head + word[own]
-                loss = [np.bincount(row[own], _losses(head_pairs[m][at], history[own], word[own], single[m], totals[m], size),
-                                    len(kind)).astype(float) for m in (0, 1)]
-                out = [(piece, -1, kind.tobytes(), doc.astype(np.int64).tobytes(), n.astype(np.int64).tobytes(),
-                        np.stack(loss).tobytes(), None)]
-                rest = np.flatnonzero(~inside)
-                order, cut = _cut(np.mod(np.where(history[rest] < 0, past[rest], now[rest]), buckets), buckets)
-                rest = rest[order]
+                tokens, head_loss, held, first_row = [], [], [], 0
+                for some in textkit.row_blocks(part, "text", STEP):  # only what packing needs is kept of a step
+                    (history, past), (word, now), off = head_of.pairs(*textkit.word_hashes(*textkit.utf8_buffers(some.column(2))))
+                    tokens.append(np.diff(off))
+                    row = np.repeat(np.arange(some.num_rows, dtype=np.int32), tokens[-1])
+                    inside = (history >= 0) & (word >= 0)
+                    own = inside & (kind[first_row + row] == _BACK)
+                    at = history[own] * head + word[own]
+                    head_loss.append(np.stack([np.bincount(row[own], _losses(head_pairs[m][at], history[own], word[own], single[m], totals[m],
+                                                                             size), some.num_rows).astype(float) for m in (0, 1)]))
+                    rest = ~inside
+                    held.append((row[rest] + np.int32(first_row), history[rest].astype(np.int32), word[rest].astype(np.int32), past[rest], now[rest]))
+                    first_row += some.num_rows
+                out = [(piece, -1, kind.tobytes(), doc.astype(np.int64).tobytes(), np.concatenate(tokens).astype(np.int64).tobytes(),
+                        np.concatenate(head_loss, axis=1).tobytes(), None)]
+                row, history, word, past, now = (np.concatenate(x) for x in zip(*held))
+                del held
+                order, cut = _cut(np.mod(np.where(history < 0, past, now), buckets), buckets)
                 for b, s in cut:
-                    mine = rest[s]
+                    mine = order[s]
                     rows, m = np.unique(row[mine], return_counts=True)  # in order of rows, as the sort was stable
                     ids = np.concatenate([history[mine], word[mine]])
                     other = ids < 0
