@@ -9,7 +9,10 @@ backward pass from each end finds its start.  Bytes that lead every state to
 the start state cut a batch into segments, and all segments of a batch step
 together, so the pass is vectorised.
 
-Null texts count as empty.  Spans are code points, end exclusive.
+Null texts count as empty.  Spans are code points, end exclusive.  At most
+eight rules (a bit each).  Every row is scanned by itself, also where ids
+repeat or are null; an empty table gives an empty result, extra columns are
+ignored by ``find_secrets`` and kept by ``redact``, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +43,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+# Published token formats (prefix and least length of what follows) and the private-key header.
+MORE_RULES = (
+    Rule("github", r"gh[opsur]_[A-Za-z0-9]+", 36),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 10),
+    Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", 24),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 16),
+    Rule("pem", r"-----BEGIN [A-Z ]+PRIVATE KEY----[-]+", 1),
+)
+ALL_RULES = BASE_RULES + MORE_RULES
 
 
 # ---- regex -> NFA -------------------------------------------------------
@@ -338,7 +350,7 @@ class Automaton:
         return found
 
 
-def find_secrets(docs: DataFrame, rules=BASE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, rules=ALL_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``id_col`` and ``spans``, an array of (start, kind, end) by start, then rule order."""
     machine = Automaton(rules)
 
@@ -361,7 +373,7 @@ def find_secrets(docs: DataFrame, rules=BASE_RULES, id_col: str = "doc_id", text
     return rows.mapInArrow(run, f"`{id_col}` {kind}, spans array<struct<start: long, kind: string, end: long>>")
 
 
-def redact(docs: DataFrame, rules=BASE_RULES, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, rules=ALL_RULES, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """The same rows and columns with every found span replaced by ``mark`` (overlapping spans by one); ``n_chars`` follows."""
     machine = Automaton(rules)
     names = docs.columns
@@ -391,8 +403,8 @@ def redact(docs: DataFrame, rules=BASE_RULES, mark: str = "[SECRET]", text_col:
     return out.withColumn("n_chars", F.length(text_col).cast("long")) if "n_chars" in names else out
 
 
-def secret_digests(docs: DataFrame, rules=BASE_RULES, base: int = len(BASE_RULES)) -> DataFrame:
-    """doc_id, n_<kind> of the base rules, base_sha256 and spans as text."""
+def secret_digests(docs: DataFrame, rules=ALL_RULES, base: int = len(BASE_RULES)) -> DataFrame:
+    """doc_id, n_<kind> of the first ``base`` rules and base_sha256 of their spans, and the spans of all rules as text."""
     found = find_secrets(docs, rules)
     names = [r.kind for r in rules[:base]]
     show = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

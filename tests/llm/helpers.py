@@ -58,6 +58,20 @@ def secrets(text):
     return sorted(out)
 
 
+MORE = [(r"gh[opsur]_[A-Za-z0-9]+", 4 + 36), (r"xox[abprs]-[A-Za-z0-9-]+", 5 + 10), (r"[rs]k_live_[A-Za-z0-9]+", 8 + 24),
+        (r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0), (r"-----BEGIN [A-Z ]+PRIVATE KEY-----+", 0)]
+
+
+def all_secrets(text):
+    """The base spans and those of the further rules."""
+    out = secrets(text)
+    for k, (pattern, least) in enumerate(MORE, 3):
+        for m in re.finditer(pattern, text or ""):
+            if len(m[0]) >= least and (k != 6 or len(m[0].rpartition(".")[2]) >= 16):
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
 def word_bpe():
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
-from helpers import SF, secrets, words
+from helpers import all_secrets, SF, secrets, words
 
 from cohortlens.llm import cgk_decontam, cross_entropy, fm_quality, registry, secret_dfa, storage, textkit
 
@@ -47,8 +47,8 @@ def test_op4_edges(spark):
     assert fm_quality.keep_good(docs, fm_quality.train(docs, labels)).columns == docs.columns
 
 
-def _scan(texts):
-    machine = secret_dfa.Automaton()
+def _scan(texts, rules=secret_dfa.BASE_RULES):
+    machine = secret_dfa.Automaton(rules)
     data, at = textkit.utf8_buffers(pa.array(texts))
     chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     out = [[] for _ in texts]
@@ -66,6 +66,21 @@ def test_op5_fuzz():
     assert _scan(texts) == [secrets(t) for t in texts]
 
 
+def test_op5_further_rules():
+    """Each further kind by itself, and all rules in one automaton against regular expressions."""
+    one = {"github": "ghp_" + "a1B2" * 9, "slack": "xoxb-12345-abcDE", "stripe": "sk_live_" + "z" * 24,
+           "jwt": "eyJhbGciOi.eyJzdWIi.SflKxwRJSMeKKF2Q", "pem": "-----BEGIN RSA PRIVATE KEY-----"}
+    for k, (kind, text) in enumerate(one.items(), 3):
+        assert secret_dfa.ALL_RULES[k].kind == kind
+        assert (2, k, 2 + len(text)) in _scan(["é " + text + " x"], secret_dfa.ALL_RULES)[0]
+        assert [s for s in _scan(["é " + text[:len(text) // 2] + " x"], secret_dfa.ALL_RULES)[0] if s[1] == k] == []
+    rng = random.Random(6)
+    pieces = [*one.values(), "ghp_", "gho_", "xoxa-", "-", "--", "-----", "BEGIN ", "PRIVATE KEY", "RSA ", "eyJ", ".", "eyJa.", "abc", "a" * 20,
+              "_", "rk_live_", "sk_live_", "password=", "AKIA" + "A" * 16, " ", "\n", "é", "ey", "0" * 24]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 10))) for _ in range(6000)]
+    assert _scan(texts, secret_dfa.ALL_RULES) == [all_secrets(t) for t in texts]
+
+
 def test_op5_query(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet").set_index("doc_id").text
     kinds = ("assign", "access", "hex")
@@ -74,7 +89,8 @@ def test_op5_query(spark):
     for r in rows:
         found = secrets(docs[r.doc_id])
         text = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in found)
-        assert (r.spans, r.base_sha256) == (text, hashlib.sha256(text.encode()).hexdigest())
+        every = ",".join(f"{secret_dfa.ALL_RULES[k].kind}:{a}:{b}" for a, k, b in all_secrets(docs[r.doc_id]))
+        assert (r.spans, r.base_sha256) == (every, hashlib.sha256(text.encode()).hexdigest())
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in found) for i in range(3))
 
 
