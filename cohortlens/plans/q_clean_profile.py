@@ -8,6 +8,7 @@ as the text 'None'.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlens import schemas as S
@@ -86,13 +87,15 @@ def c11_recode(spark, sf_dir):
     return out.withColumn("flag_count", cl.row_sum([f"seg_{s}" for s in SEGMENTS], "int"))
 
 
+def _line_order():
+    return Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
+
+
 def numbered_lines(spark, sf_dir):
     """Order lines with their slot: the place within the order by line number, then part and price (line numbers
     repeat, so they are not slots themselves)."""
-    from pyspark.sql import Window
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
     return (driver.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
-            .withColumn("slot", F.row_number().over(order)))
+            .withColumn("slot", F.row_number().over(_line_order())))
 
 
 WIDTH = S.CARRIER_LINE_SLOTS  # slots of a wide row; lines beyond go to further rows of the same order
@@ -104,6 +107,17 @@ def wide_lines(lines, value):
     return placed.groupBy("l_orderkey", "block").pivot("place", list(range(1, WIDTH + 1))).agg(value)
 
 
+def wide_amounts(lines):
+    """(l_orderkey, block, slots 1..WIDTH) of the amounts of unjoined lines: each WIDTH-th line of an order's sorted
+    lines reads those after it, so a task holds its sort and no table of lines or of slots."""
+    lines = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    ahead = [F.lead("l_extendedprice", i).over(_line_order()).alias(f"_{i + 1}") for i in range(1, WIDTH)]
+    placed = lines.select("l_orderkey", F.row_number().over(_line_order()).alias("slot"), F.col("l_extendedprice").alias("_1"), *ahead)
+    return placed.where(F.pmod(F.col("slot") - 1, F.lit(WIDTH)) == 0).select(
+        "l_orderkey", F.floor((F.col("slot") - 1) / WIDTH).alias("block"),
+        *[cl.money(f"_{i}").alias(str(i)) for i in range(1, WIDTH + 1)])
+
+
 NUMBERED_SQL = """SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
   ORDER BY l_linenumber, l_partkey, l_extendedprice) AS INTEGER) AS slot FROM lineitem"""
 
@@ -113,7 +127,7 @@ FROM lineitem GROUP BY l_orderkey""")
 def c13_line_sum(spark, sf_dir):
     """Order lines pivoted to the carrier's wide line-amount slots, one a line, then the row-wise sum with NULL
     slots as 0, over all rows of an order."""
-    wide = wide_lines(numbered_lines(spark, sf_dir), F.sum(cl.money("l_extendedprice")))
+    wide = wide_amounts(driver.table(spark, sf_dir, "lineitem"))
     rows = wide.select("l_orderkey", cl.row_sum([F.col(f"`{x}`") for x in range(1, WIDTH + 1)], "decimal(28,2)").alias("_sum"))
     return rows.groupBy("l_orderkey").agg(F.sum("_sum").cast("double").alias(S.AMOUNT))
 

@@ -118,3 +118,20 @@ def test_weekly_series_is_complete(spark):
     weekly = E.queries()["A4_weekly"](spark, SF).agg(F.sum("claim_amt")).first()[0]
     total = E.queries()["U5_merged_claims"](spark, SF).agg(F.sum("claim_amt")).first()[0]
     assert abs(weekly - total) < 0.01
+
+
+def test_line_sums_hold_no_table_of_lines(spark):
+    """Rows of 13 slots in line order, null keys and amounts included; after the sort only the sum an order is hashed."""
+    from cohortlens.plans import q_clean_profile as cp
+    rows = [(k, i % 9, i, None if i % 10 == 3 else float(i)) for k, n in ((1, 30), (2, 13), (None, 14)) for i in range(n)]
+    lines = spark.createDataFrame(rows * 2, "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double").repartition(3)
+    wide = cp.wide_amounts(lines)
+    assert wide.columns == ["l_orderkey", "block", *map(str, range(1, cp.WIDTH + 1))]
+    got = {(r.l_orderkey, r.block): [None if x is None else float(x) for x in r[2:]] for r in wide.collect()}
+    for k in (1, 2, None):
+        want = [r[3] for r in sorted((r for r in rows * 2 if r[0] == k), key=lambda r: (r[1], r[2]))]
+        want += [None] * (-len(want) % cp.WIDTH)
+        assert [x for b in range(len(want) // cp.WIDTH) for x in got.pop((k, b))] == want
+    assert not got
+    plan = E.queries()["C13_line_sum"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Aggregate") == 2
