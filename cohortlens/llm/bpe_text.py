@@ -4,7 +4,8 @@ BPE never joins symbols across words, so a text's ids are its words' ids in
 order.  Texts of plain Latin letters are lower-cased and cut by one pattern;
 others go chunk by chunk through the library's own normalising and cutting
 steps.  ``encode_words`` of a subclass gives the ids of distinct words.  The
-table is emptied when it holds ``TABLE_WORDS`` words.
+table is emptied when it holds ``TABLE_WORDS`` words; ``LibraryEncoder`` keeps
+those that a later batch held.
 """
 
 from __future__ import annotations
@@ -56,6 +57,11 @@ class TextEncoder:
         self._size = np.ones(len(self.special), np.int64)
         self._at = np.arange(len(self.special))
         self._ids = np.array(list(self.special.values()), np.int32)
+        self._again = np.ones(len(self.special), bool)
+
+    def _forget(self) -> None:
+        """Room in a full table; words are cheap to learn anew unless a subclass says otherwise."""
+        self._clear()
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each) for distinct words in the byte-level alphabet."""
@@ -83,14 +89,16 @@ class TextEncoder:
         self._at = np.concatenate([self._at, len(self._ids) + np.cumsum(size) - size])
         self._size = np.concatenate([self._size, size])
         self._ids = np.concatenate([self._ids, ids])
+        self._again = np.concatenate([self._again, np.zeros(len(new), bool)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text)."""
         if len(self._place) > TABLE_WORDS:
-            self._clear()
+            self._forget()
         cut = list(map(self.cut, texts))
         words = list(chain.from_iterable(cut))
         place = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
+        self._again[place[place >= 0]] = True
         unknown = np.flatnonzero(place < 0).tolist()
         if unknown:
             self._learn(list({words[i] for i in unknown}))
@@ -117,6 +125,17 @@ class LibraryEncoder(TextEncoder):
         got = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
         return np.array(got.ids, np.int32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))
 
+    def _forget(self) -> None:
+        """Words that no later batch held go; all go if that leaves more than half of the table."""
+        keep = np.flatnonzero(self._again)
+        if len(keep) > TABLE_WORDS // 2:
+            return self._clear()
+        words, size = list(self._place), self._size[keep]
+        at = np.cumsum(size) - size
+        self._place = {words[i]: n for n, i in enumerate(keep.tolist())}
+        self._ids = self._ids[np.arange(size.sum()) + np.repeat(self._at[keep] - at, size)]
+        self._size, self._at, self._again = size, at, np.arange(len(keep)) < len(self.special)
+
 
 def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
     """One encoder for all tasks of a Python worker; another kind or lexicon takes its place."""

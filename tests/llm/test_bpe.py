@@ -101,3 +101,21 @@ def test_op10_edges_and_selective_reads(spark, bpe):
     folder = storage.work_folder(spark, "t")
     token_files.write_token_files(docs.limit(0), folder, model)
     assert token_files.token_digests(spark, folder).count() == 0
+
+
+def test_words_met_again_outlive_a_full_table(bpe, monkeypatch):
+    """The table keeps words that later batches held; ids stay those of the library."""
+    from cohortlens.llm import bpe_text
+    model, library = bpe
+    monkeypatch.setattr(bpe_text, "TABLE_WORDS", 60)
+    encoder, learned = LibraryEncoder(model), []
+    learn = encoder._learn
+    encoder._learn = lambda new: (learned.extend(new), learn(new))
+    for n in range(30):
+        texts = ["always here <|endoftext|> again " + " ".join("new" + chr(97 + n % 26) * (2 + i) for i in range(12)), "", "日 本"]
+        flat, at = encoder.encode(texts)
+        assert [x.tolist() for x in np.split(flat, at[1:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [learned.count(w) for w in ("always", "here", "again")] == [1, 1, 1] and len(encoder._place) < 100
+    monkeypatch.setattr(bpe_text, "TABLE_WORDS", 2)  # more words met again than half of the table
+    for text in ("always here again", "a b c", "here a"):
+        assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
