@@ -61,6 +61,38 @@ def test_op1_ids_with_several_texts(spark, parts):
     assert sorted((r.doc_id, len(r.text) > 0) for r in kept if r.doc_id) in ([(3, True), (20, True), (22, True)], [(3, True), (20, False), (22, True)])
 
 
+def _rows_shuffled(node):
+    """Rows written by the exchanges of an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _rows_shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _rows_shuffled(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_rows_shuffled(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_keep_one_moves_few_texts(spark):
+    """Where the ids that go are too many to broadcast, texts that have no copy are not shuffled."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(str(rng.randrange(10**6)) for _ in range(12))) for i in range(2000)]
+    rows += [(5000 + i, rows[i][1]) for i in range(20)] + [(None, rows[0][1]), (7, "twice"), (7, "twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        kept = ngram_join.keep_one(docs, storage.work_folder(spark, "t"))
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        moved = _rows_shuffled(kept._jdf.queryExecution().executedPlan())
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    assert sorted(r[0] for r in got if r[0] is not None) == list(range(2000)) and len(got) == 2001
+    assert dict(got)[7] in ("twice", rows[7][1]) and moved < 500
+
+
 def test_divide_skip_counts():
     rng = np.random.default_rng(0)
     sets = [np.sort(rng.choice(60, rng.integers(10, 40), replace=False)).astype(np.uint64) for _ in range(80)]
