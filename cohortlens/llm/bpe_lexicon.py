@@ -19,7 +19,7 @@ import hashlib
 import json
 import mmap
 from collections import Counter
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from cohortlens.llm import storage, textkit
 from cohortlens.llm.bpe_text import TextEncoder, byte_symbols, task_done, worker_encoder
 
 LEXICON_WORDS = 65_536
+_PIECE_WORDS = 32_768  # words that one batch of counts holds and that are merged at once
 _ARRAYS = (("arc_key", np.int64), ("arc_target", np.int32), ("arc_skip", np.int32), ("final", np.uint8),
            ("ids_at", np.int32), ("ids", np.int32))
 
@@ -218,12 +219,17 @@ class LexiconEncoder(TextEncoder):
         if lexicon_file is not None:
             from pyspark import SparkFiles
             self.lexicon = Automaton.map_file(SparkFiles.get(lexicon_file))
-        self.token = {i: t for t, i in self.library.get_vocab(with_added_tokens=True).items()}
+        spec = json.loads(tokenizer_json)
+        self.token = {i: t for t, i in spec["model"]["vocab"].items()} | {i: t for t, i in self.special.items()}
 
     def _raw(self, word: str) -> bytes:
         return word.encode() if word.isascii() else bytes(map(self.merges.code.__getitem__, word))
 
     def encode_words(self, words):
+        parts = [self._encode_piece(words[i:i + _PIECE_WORDS]) for i in range(0, max(1, len(words)), _PIECE_WORDS)]
+        return tuple(map(np.concatenate, zip(*parts)))
+
+    def _encode_piece(self, words):
         raw = list(map(self._raw, words))
         if self.lexicon is None:
             return self.merges.merge(raw)
@@ -252,11 +258,11 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
         seen: Counter = Counter()
 
         def words():
-            out: Counter = Counter()
-            for w, n in seen.items():
-                out[w[1:] if w[0] == "\0" else cutter.spell(w)] += n
+            rest = iter(seen.items())
+            while some := list(islice(rest, _PIECE_WORDS)):
+                word = pa.array([w[1:] if w[0] == "\0" else cutter.spell(w) for w, _ in some], pa.string())
+                yield pa.RecordBatch.from_arrays([word, pa.array([n for _, n in some], pa.int64())], names=["word", "n"])
             seen.clear()
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(out), pa.string()), "n": pa.array(list(out.values()), pa.int64())})
 
         for batch in batches:
             for part in textkit.row_blocks(batch, "text"):
@@ -264,8 +270,8 @@ def word_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", he
                     if t:
                         seen.update(cutter.cut(t))
                 if len(seen) > held:
-                    yield words()
-        yield words()
+                    yield from words()
+        yield from words()
         task_done()
 
     return (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
@@ -309,7 +315,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, lexicon: str | None,
     def run(batches):
         encoder = worker_encoder(LexiconEncoder, model.value, lexicon)
         for batch in batches:
-            for part in textkit.row_blocks(batch, "_text", 2 << 20):
+            for part in textkit.row_blocks(batch, "_text", 1 << 20):
                 flat, at = encoder.encode([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
                 ids = np.split(flat, at[1:-1])
                 cols = [*part.columns[:-1], pa.array(np.diff(at)),

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 
-from cohortlens.llm.storage import process_cache
+from cohortlens.llm.storage import process_cache, return_unused
 
 #: Here str.lower(), NFC and the letter and digit classes agree between Python and the library.
 _PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
@@ -35,15 +35,25 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+class _Places(dict):
+    """Place by word; a word asked for the first time takes the next place and is noted in ``new``."""
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = at = len(self)
+        return at
+
+
 class TextEncoder:
     """Base: word table, word cutting, special tokens.  ``tokenizer_json`` is the tokenizers file's text."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         spec = json.loads(tokenizer_json)
-        self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.no_truncation()
-        self.library.no_padding()
+        # normalising and cutting only: the library's own copy of the vocabulary would take some 25 MB of every worker
+        bare = {**spec, "model": {**spec["model"], "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None,
+                "truncation": None, "padding": None}
+        self.library = Tokenizer.from_str(json.dumps(bare))
         cut = [s["pattern"]["Regex"] for s in spec["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split"]
         self._plain = cut == [_FIXED_PATTERN]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -53,7 +63,7 @@ class TextEncoder:
 
     def _clear(self) -> None:
         """Only the special tokens are known."""
-        self._place = {t: i for i, t in enumerate(self.special)}
+        self._place = _Places(zip(self.special, range(len(self.special))))
         self._size = np.ones(len(self.special), np.int64)
         self._at = np.arange(len(self.special))
         self._ids = np.array(list(self.special.values()), np.int32)
@@ -63,6 +73,10 @@ class TextEncoder:
         """Room in a full table; words are cheap to learn anew unless a subclass says otherwise."""
         self._clear()
 
+    def rest(self) -> None:
+        """Between tasks."""
+        self._clear()
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each) for distinct words in the byte-level alphabet."""
         raise NotImplementedError
@@ -85,30 +99,33 @@ class TextEncoder:
 
     def _learn(self, new: list[str]) -> None:
         ids, size = self.encode_words([w[1:] if w[0] == "\0" else self.spell(w) for w in new])
-        self._place.update(zip(new, range(len(self._place), len(self._place) + len(new))))
         self._at = np.concatenate([self._at, len(self._ids) + np.cumsum(size) - size])
         self._size = np.concatenate([self._size, size])
         self._ids = np.concatenate([self._ids, ids])
         self._again = np.concatenate([self._again, np.zeros(len(new), bool)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets by text)."""
+        """(ids of all texts, offsets by text); the words of one text at a time are held, besides their places."""
         if len(self._place) > TABLE_WORDS:
             self._forget()
-        cut = list(map(self.cut, texts))
-        words = list(chain.from_iterable(cut))
-        place = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
-        self._again[place[place >= 0]] = True
-        unknown = np.flatnonzero(place < 0).tolist()
-        if unknown:
-            self._learn(list({words[i] for i in unknown}))
-            place[unknown] = [self._place[words[i]] for i in unknown]
+        known, self._place.new, n_words = len(self._place), [], [0]
+
+        def places():
+            for text in texts:
+                words = self.cut(text)
+                n_words.append(len(words))
+                yield map(self._place.__getitem__, words)
+
+        place = np.fromiter(chain.from_iterable(places()), np.int32)
+        self._again[place[place < known]] = True
+        if self._place.new:
+            self._learn(self._place.new)
+            self._place.new = []
         size = self._size[place]
         end = np.cumsum(size)
-        total = int(end[-1]) if len(end) else 0
-        flat = self._ids[np.arange(total) + np.repeat(self._at[place] - (end - size), size)]
-        bounds = np.cumsum([0, *map(len, cut)])
-        return flat, np.concatenate([[0], end])[bounds]
+        at = np.repeat(self._at[place] - (end - size), size)
+        at += np.arange(len(at))
+        return self._ids[at], np.concatenate([[0], end])[np.cumsum(n_words)]
 
 
 class LibraryEncoder(TextEncoder):
@@ -125,6 +142,9 @@ class LibraryEncoder(TextEncoder):
         got = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
         return np.array(got.ids, np.int32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))
 
+    def rest(self) -> None:
+        """The words stay: the library's model is dear."""
+
     def _forget(self) -> None:
         """Words that no later batch held go; all go if that leaves more than half of the table."""
         keep = np.flatnonzero(self._again)
@@ -132,7 +152,7 @@ class LibraryEncoder(TextEncoder):
             return self._clear()
         words, size = list(self._place), self._size[keep]
         at = np.cumsum(size) - size
-        self._place = {words[i]: n for n, i in enumerate(keep.tolist())}
+        self._place = _Places((words[i], n) for n, i in enumerate(keep.tolist()))
         self._ids = self._ids[np.arange(size.sum()) + np.repeat(self._at[keep] - at, size)]
         self._size, self._at, self._again = size, at, np.arange(len(keep)) < len(self.special)
 
@@ -143,10 +163,15 @@ def worker_encoder(kind: type, tokenizer_json: str, *args) -> TextEncoder:
     if cache.get("encoder_key") != key:
         cache.pop("encoder", None)
         cache["encoder"], cache["encoder_key"] = kind(tokenizer_json, *args), key
+        return_unused()  # what reading the file took
     cache["encoder_busy"] = True
     return cache["encoder"]
 
 
 def task_done() -> None:
-    """The task's last word: its encoder stays for the next task of the stage, until another operator needs the worker."""
-    process_cache()["encoder_busy"] = False
+    """The task's last word: its encoder stays for the next task of the stage, until another operator needs the worker;
+    a table that is cheap to learn anew is emptied, since an idle worker keeps its memory as long as it lives."""
+    cache = process_cache()
+    cache["encoder_busy"] = False
+    cache["encoder"].rest()
+    return_unused()

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from cohortlens.llm import storage, textkit
 
 TRAIN_ROWS = 8_000
+PIECE = 1 << 19  # bytes of text whose features are made at once; they take some fifty times as much
 WORD_SLOTS = 1 << 15
 FACTORS = 8
 BINS = 12
@@ -197,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
 
     def run(batches):
         for batch in batches:
-            for part in textkit.row_blocks(batch, "_text", 2 << 20):
+            for part in textkit.row_blocks(batch, "_text", PIECE):
                 idx, val, at = features(*textkit.utf8_buffers(part.column(2)))
                 at32 = pa.array(at.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -237,7 +238,7 @@ def score(docs: DataFrame, model: FactorisationMachine, text_col: str = "text")
     def run(batches):
         m = FactorisationMachine(*shared.value)
         for batch in batches:
-            for part in textkit.row_blocks(batch, text_col, 2 << 20):
+            for part in textkit.row_blocks(batch, text_col, PIECE):
                 s = m.score(*features(*textkit.utf8_buffers(part.column(where))))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s.astype(np.float64))],
                                                  names=[*part.schema.names, "_score"])
@@ -253,7 +254,7 @@ def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0
     def run(batches):
         m = FactorisationMachine(*shared.value)
         for batch in batches:
-            for part in textkit.row_blocks(batch, text_col, 2 << 20):
+            for part in textkit.row_blocks(batch, text_col, PIECE):
                 yield part.filter(pa.array(m.score(*features(*textkit.utf8_buffers(part.column(where)))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

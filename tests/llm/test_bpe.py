@@ -119,3 +119,42 @@ def test_words_met_again_outlive_a_full_table(bpe, monkeypatch):
     monkeypatch.setattr(bpe_text, "TABLE_WORDS", 2)  # more words met again than half of the table
     for text in ("always here again", "a b c", "here a"):
         assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_workers_hold_one_vocabulary_and_one_texts_words(bpe):
+    """Normalising and cutting need no vocabulary, and a block's words are not all held at once."""
+    import tracemalloc
+    model, library = bpe
+    encoder = bpe_lexicon.LexiconEncoder(model, None)
+    assert encoder.library.get_vocab_size() == 0
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + n % 26)}" for i in range(1000)) for n in range(300)]
+    encoder.encode(texts)
+    tracemalloc.start()
+    flat, at = encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert flat[:at[1]].tolist() == library.encode(texts[0], add_special_tokens=False).ids
+    assert peak < 65 * 300_000, peak
+
+
+def test_an_ended_task_leaves_no_words(bpe):
+    from cohortlens.llm import bpe_text
+    encoder = bpe_text.worker_encoder(bpe_lexicon.LexiconEncoder, bpe[0], None)
+    try:
+        encoder.encode(["some words of a task <|endoftext|>"])
+        bpe_text.task_done()
+        assert list(encoder._place) == list(encoder.special)
+        assert bpe_text.worker_encoder(bpe_lexicon.LexiconEncoder, bpe[0], None) is encoder
+        assert encoder.encode(["of a task"])[0].tolist() == bpe[1].encode("of a task", add_special_tokens=False).ids
+    finally:
+        bpe_text.task_done()
+        storage.release_idle()
+
+
+def test_counts_leave_a_task_in_pieces(spark, bpe, monkeypatch):
+    monkeypatch.setattr(bpe_lexicon, "_PIECE_WORDS", 3)
+    docs = spark.createDataFrame([("a b c d e f g É é",), (None,), ("",), ("a É g g",)], "text string").coalesce(1)
+    got = {r.word: r.n for r in bpe_lexicon.word_counts(docs, bpe[0]).collect()}
+    assert got == {"a": 2, "b": 1, "c": 1, "d": 1, "e": 1, "f": 1, "g": 3, "Ã©": 3}
+    encoder = bpe_lexicon.LexiconEncoder(bpe[0], None)
+    assert encoder.encode(["one two three four five"])[0].tolist() == bpe[1].encode("one two three four five", add_special_tokens=False).ids
