@@ -1,7 +1,9 @@
 """Near-duplicate operators against brute force (operators 1 and 3)."""
 
 import math
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -93,6 +95,53 @@ def test_keep_one_moves_few_texts(spark):
     assert dict(got)[7] in ("twice", rows[7][1]) and moved < 500
 
 
+def test_keep_one_moves_few_texts_that_go(spark):
+    """Where most rows are copies, the texts that go are not shuffled either."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(str(rng.randrange(10**6)) for _ in range(12))) for i in range(100)]
+    rows += [(1000 * j + i, text) for j in range(1, 20) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        kept = ngram_join.keep_one(spark.createDataFrame(docs.rdd, docs.schema), storage.work_folder(spark, "t"))
+        got = sorted(tuple(r) for r in kept.collect())
+        groups_moved = _rows_shuffled(kept._jdf.queryExecution().executedPlan())
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    assert got == rows[:100] and groups_moved < 2500  # 1,900 ids that go, few texts
+
+
+def test_op1_copies_post_once_and_pairs_stay_few(spark, monkeypatch):
+    """Copies dealt over many tasks are searched once, and near copies are connected, not paired."""
+    rng = random.Random(6)
+    base = [rng.choice("abcdefghij") + str(i) for i in range(60)]
+    near = [(j, " ".join(base[:j] + [f"x{j}"] + base[j + 1:])) for j in range(50)]
+    docs = spark.createDataFrame([(1000 * c + i, text) for c in range(10) for i, text in near], "doc_id long, text string").repartition(10)
+    counts, stage = {}, storage.stage
+    monkeypatch.setattr(storage, "stage", lambda df, folder, name: (out := stage(df, folder, name), counts.setdefault(name, out.count()))[0])
+    _same(spark, docs, 4, 80)
+    prefix = 57 - math.ceil(.8 * 57) + 1
+    assert counts["postings"] <= 52 * prefix  # the bitmap may let few copies through
+    assert counts["neighbours"] <= 4 * 55
+
+
+def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle")}
+    before, had = spark.conf.get(key, None), files()
+    out = storage.stage(spark.range(1000).repartition(5, "id"), f"file://{tmp_path}", "rows")
+    for _ in range(50):
+        if not files() - had:
+            break
+        time.sleep(.1)
+    assert not files() - had and spark.conf.get(key, None) == before and out.count() == 1000
+
+
 def test_divide_skip_counts():
     rng = np.random.default_rng(0)
     sets = [np.sort(rng.choice(60, rng.integers(10, 40), replace=False)).astype(np.uint64) for _ in range(80)]
