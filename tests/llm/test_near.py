@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from helpers import SF, Groups, jaccard_groups
 
-from cohortlens.llm import ngram_join, pivot_index, registry, storage, textkit
+from cohortlens.llm import components, ngram_join, pivot_index, registry, storage, textkit
 
 registry.load_all()
 
@@ -142,6 +142,25 @@ def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
     assert not files() - had and spark.conf.get(key, None) == before and out.count() == 1000
 
 
+def test_components_of_paths_stars_and_pairs(spark):
+    """The smallest node of each component; a round's plan reads its edges in few places."""
+    rng = random.Random(12)
+    edges = [(i + 1, i) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(500, 501), (501, 500), (7, 7)]
+    edges += [(1000 + rng.randrange(60), 1000 + rng.randrange(60)) for _ in range(45)]
+    groups = Groups({x for e in edges for x in e})
+    for a, b in edges:
+        groups.join(a, b)
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in components.components(df, storage.work_folder(spark, "t"), "c").collect()}
+    least = {}
+    for x in sorted({x for e in edges if e[0] != e[1] for x in e}):
+        least.setdefault(groups.find(x), x)
+    assert got == {x: least[groups.find(x)] for e in edges if e[0] != e[1] for x in e}
+    staged = storage.stage(df, storage.work_folder(spark, "t"), "e")
+    plan = components._small_star(components._large_star(staged))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4
+
+
 def test_divide_skip_counts():
     rng = np.random.default_rng(0)
     sets = [np.sort(rng.choice(60, rng.integers(10, 40), replace=False)).astype(np.uint64) for _ in range(80)]
